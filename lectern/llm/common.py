@@ -37,9 +37,9 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text) of every row, whatever else the table holds; a null text counts as empty."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *carry: str) -> DataFrame:
+    """(doc_id, text) and the columns of carry of every row, whatever else the table holds; a null text counts as empty."""
+    return docs.select(*carry, F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
 def one_space(text: Column) -> Column:

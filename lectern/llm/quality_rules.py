@@ -64,9 +64,9 @@ def _repeat_words(words: Column, n: Column) -> Column:
     return F.when(n < 4, F.lit(0)).otherwise(_let(words, maybe))
 
 
-def base_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed."""
-    rows = id_and_text(docs, id_col, text_col)
+def base_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, text, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, and the columns of carry."""
+    rows = id_and_text(docs, id_col, text_col, *carry)
     rows = rows.withColumns(
         {
             "words": F.filter(F.split("text", WHITE), lambda w: w != ""),
@@ -78,6 +78,7 @@ def base_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     stats = rows.select(
         "doc_id",
         "text",
+        *carry,
         F.col("n").cast("long").alias("n_words"),
         "word_chars",
         "n_symbols",
@@ -122,10 +123,10 @@ def ratio_model(docs: DataFrame, labels: DataFrame, target_rows: int = TARGET_RO
     return total.select(F.when(F.col("t") > 0, F.transform("all", weight)).otherwise(F.array_repeat(F.lit(0.0), buckets)).alias("weights"))
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, target_rows: int = TARGET_ROWS, buckets: int = BUCKETS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: the base statistics, base_failed, kept, score (mean log ratio), n_grams."""
+def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, target_rows: int = TARGET_ROWS, buckets: int = BUCKETS, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of docs: the base statistics, base_failed, kept, score (mean log ratio), n_grams, and the columns of carry."""
     weights = constant_array(ratio_model(docs, labels, target_rows, buckets, id_col, text_col).first()["weights"])
-    stats = base_stats(docs, id_col, text_col)
+    stats = base_stats(docs, id_col, text_col, carry)
     names = [c for c in stats.columns if c != "text"]
     scored = _tokens(stats, *names).select(*names, _buckets(F.col("tokens"), F.col("n"), buckets).alias("grams"))
     scored = scored.withColumn("n_grams", F.size("grams"))
@@ -136,6 +137,6 @@ def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that the rules keep, with all their columns."""
-    bad = quality_rules(docs, labels).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    """The rows of docs that the rules keep, with all their columns; nothing is joined, so repeated and null ids do no harm."""
+    held = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return quality_rules(held, labels, carry=("row",)).where("kept").select("row.*")

@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .best_fit_packing import best_fit_packing
 from .common import table
 from .exact_dedup import exact_dedup
 from .oracles import ORACLES
 from .quality_rules import quality_rules
 from .token_counts import count_tokens
+from .toxicity import toxicity
+from .url_filters import url_filters
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,12 +25,24 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing(table(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_quality_rules, op8_exact_dedup)}
+    return {f.__name__: f for f in (op1_token_counts, op2_quality_rules, op5_best_fit_packing, op7_toxicity, op8_exact_dedup, op10_url_filters)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -47,8 +47,8 @@ class ResyncEncoder:
 
     def _chunk(self, text: str, start: int, end: int) -> list[tuple[int, int, int]]:
         """(begin, end, id) of the tokens of text[start:end], in characters of text."""
-        pieces = self.model.encode(text[start:end], out_type="immutable_proto").pieces
-        return [(p.begin + start, p.end + start, p.id) for p in pieces]
+        found = self.model.encode(text[start:end], return_type="offset_mapping")
+        return [(b + start, e + start, x) for x, (b, e) in zip(found["ids"], found["offsets"], strict=True)]
 
     def encode(self, text: str) -> list[int]:
         if len(text) <= self.chunk_chars or not self.by_character:
@@ -94,7 +94,7 @@ def count_tokens(docs: DataFrame, model_file: str | None = None, limit: int = 40
             counts = [0] * len(texts)
             for at in range(0, len(texts), 256):
                 short = [i for i in range(at, min(at + 256, len(texts))) if len(texts[i]) <= chunk_chars]
-                for i, ids in zip(short, encoder.model.encode([texts[i] for i in short], num_threads=1), strict=True):
+                for i, ids in zip(short, encoder.model.encode([texts[i] for i in short], num_threads=1, return_type="numpy"), strict=True):
                     counts[i] = len(ids)
             for i, text in enumerate(texts):
                 if len(text) > chunk_chars:
