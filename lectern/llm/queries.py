@@ -10,6 +10,7 @@ from .best_fit_packing import best_fit_packing
 from .common import table
 from .exact_dedup import exact_dedup
 from .oracles import ORACLES
+from .piece_viterbi import piece_viterbi
 from .quality_rules import quality_rules
 from .token_counts import count_tokens
 from .toxicity import toxicity
@@ -25,6 +26,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_viterbi(table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"))
 
@@ -42,7 +47,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_quality_rules, op5_best_fit_packing, op7_toxicity, op8_exact_dedup, op10_url_filters)}
+    return {f.__name__: f for f in (op1_token_counts, op2_quality_rules, op3_sentencepiece, op5_best_fit_packing, op7_toxicity, op8_exact_dedup, op10_url_filters)}
 
 
 def oracle_sql() -> dict[str, str]:
