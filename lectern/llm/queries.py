@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import chat_format
 from .best_fit_packing import best_fit_packing
 from .common import table
 from .exact_dedup import exact_dedup
+from .lm_scoring import lm_scoring
 from .oracles import ORACLES
 from .piece_viterbi import piece_viterbi
 from .quality_rules import quality_rules
@@ -30,6 +33,10 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_viterbi(table(spark, sf_dir, "documents"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"))
 
@@ -42,12 +49,19 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations become transcripts, the model learns from two thirds of them, and the turns of all are recovered."""
+    lines = chat_format.transcripts(table(spark, sf_dir, "conversations"))
+    model = chat_format.fit(lines.where(F.crc32(F.col("conv_id").cast("string").cast("binary")) % 3 != 1))
+    return chat_format.turns(lines, model, block_lines=1 << 30)
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters(table(spark, sf_dir, "pages"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_quality_rules, op3_sentencepiece, op5_best_fit_packing, op7_toxicity, op8_exact_dedup, op10_url_filters)}
+    return {f.__name__: f for f in (op1_token_counts, op2_quality_rules, op3_sentencepiece, op4_lm_scoring, op5_best_fit_packing, op7_toxicity, op8_exact_dedup, op9_chat_format, op10_url_filters)}
 
 
 def oracle_sql() -> dict[str, str]:
