@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from .common import NOT_WHITE, WHITE, constant_array, id_and_text
 
 TARGET_ROWS = 20_000
-BUCKETS = 1 << 16
+BITS = 16
+BUCKETS = 1 << BITS
 THRESHOLD = -0.5
 MIN_WORDS = 50
 #: Letters and digits, or any other marks.
@@ -40,28 +41,25 @@ def _count_of(text: Column, inverse: str) -> Column:
     return F.length(F.regexp_replace(text, inverse, ""))
 
 
-def _repeat_words(words: Column, n: Column) -> Column:
-    """Words that stand in a 3-word window found twice or more."""
+def _sorted_windows(h: Column, n: Column) -> Column:
+    """34 bits of the mixed hash of each 3-word window, then its place in 30 bits, sorted. h: hashes of the words, a column."""
+    mixed = lambda i: F.shiftleft(F.get(h, i), 2).bitwiseXOR(F.shiftleft(F.get(h, i + 1), 1)).bitwiseXOR(F.get(h, i + 2))
+    every = F.transform(F.sequence(F.lit(0), F.greatest(n - 3, F.lit(0))), lambda i: F.shiftleft(mixed(i), 30).bitwiseOR(i.cast("long")))
+    return F.when(n >= 4, F.sort_array(every)).otherwise(F.array().cast("array<bigint>"))
 
-    def covered(w: Column) -> Column:
-        windows = F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.struct(F.concat_ws(" ", F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("k"), i.alias("i")))
 
-        def marked(s: Column) -> Column:
-            places = F.transform(
-                F.sequence(F.lit(0), n - 3),
-                lambda j: F.when((F.get(s, j)["k"] == F.get(s, j - 1)["k"]) | (F.get(s, j)["k"] == F.get(s, j + 1)["k"]), F.get(s, j)["i"]),
-            )
-            starts = F.filter(places, lambda p: p.isNotNull())
-            return F.size(F.array_distinct(F.flatten(F.transform(starts, lambda p: F.array(p, p + 1, p + 2)))))
+def _repeat_words(words: Column, windows: Column) -> Column:
+    """Words that stand in a 3-word window found twice or more: windows of one hash, of which the words are then compared."""
+    like = lambda x, y: F.shiftrightunsigned(x, 30) == F.shiftrightunsigned(y, 30)
+    maybe = F.filter(windows, lambda x, j: like(x, F.get(windows, j - 1)) | like(x, F.get(windows, j + 1)))
 
-        return _let(F.array_sort(windows), marked)
+    def covered(some: Column) -> Column:
+        at = F.transform(some, lambda x: x.bitwiseAND(F.lit((1 << 30) - 1)).cast("int"))
+        texts = F.array_sort(F.transform(at, lambda i: F.struct(F.concat_ws(" ", F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("k"), i.alias("i"))))
+        twice = _let(texts, lambda t: F.filter(t, lambda x, j: (x["k"] == F.get(t, j - 1)["k"]) | (x["k"] == F.get(t, j + 1)["k"])))
+        return F.size(F.array_distinct(F.flatten(F.transform(twice, lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2)))))
 
-    def maybe(w: Column) -> Column:
-        hashes = F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
-        # equal windows have equal hashes: where all hashes differ nothing repeats
-        return F.when(F.size(F.array_distinct(hashes)) < n - 2, covered(w)).otherwise(0)
-
-    return F.when(n < 4, F.lit(0)).otherwise(_let(words, maybe))
+    return _let(maybe, lambda some: F.when(F.size(some) > 0, covered(some)).otherwise(0))
 
 
 def base_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
@@ -74,7 +72,8 @@ def base_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             "word_chars": _count_of(F.col("text"), WHITE).cast("long"),
             "n_symbols": _count_of(F.col("text"), r"[^#*$%&|<>]+").cast("long"),
         }
-    ).withColumn("n", F.size("words"))
+    ).withColumns({"n": F.size("words"), "word_hashes": F.transform("words", lambda w: F.xxhash64(w))})
+    rows = rows.withColumn("windows", _sorted_windows(F.col("word_hashes"), F.col("n"))).drop("word_hashes")
     stats = rows.select(
         "doc_id",
         "text",
@@ -83,25 +82,36 @@ def base_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "word_chars",
         "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        _repeat_words(F.col("words"), F.col("n")).cast("long").alias("n_repeat_words"),
+        _repeat_words(F.col("words"), F.col("windows")).cast("long").alias("n_repeat_words"),
     )
     return stats.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
-def _buckets(tokens: Column, n: Column, buckets: int) -> Column:
-    """Buckets of the uni- and bigrams; the first and the last token stand alone in one more of each."""
+def _single(h: Column) -> Column:
+    """Bucket of a unigram: the leading bits of its hash."""
+    return F.shiftrightunsigned(h, 64 - BITS)
+
+
+def _double(h: Column, i: Column) -> Column:
+    """Bucket of the bigram at i."""
+    return F.shiftrightunsigned(F.shiftleft(F.get(h, i), 1).bitwiseXOR(F.get(h, i + 1)), 64 - BITS)
+
+
+def _buckets(hashes: Column, n: Column) -> Column:
+    """Buckets of the uni- and bigrams."""
+    return F.when(n < 2, F.transform(hashes, _single)).otherwise(F.concat(F.transform(hashes, _single), F.transform(F.sequence(F.lit(0), n - 2), lambda i: _double(hashes, i))))
 
-    def of(t: Column) -> Column:
-        one = F.transform(t, lambda x: F.pmod(F.xxhash64(x), F.lit(buckets)).cast("int"))
-        two = F.transform(F.sequence(F.lit(0), n - 2), lambda i: F.pmod(F.xxhash64(F.get(t, i), F.get(t, i + 1)), F.lit(buckets)).cast("int"))
-        return F.when(n < 2, one).otherwise(F.concat(one, two))
 
-    return _let(tokens, of)
+def _mean_weight(h: Column, n: Column, weights: Column) -> Column:
+    """Mean of the weights of all uni- and bigrams; 0 without any. h is a column, so its elements are read in place."""
+    one = F.aggregate(h, F.lit(0.0), lambda a, x: a + F.get(weights, _single(x)))
+    two = F.aggregate(F.sequence(F.lit(0), n - 2), F.lit(0.0), lambda a, i: a + F.get(weights, _double(h, i)))
+    return F.when(n < 1, F.lit(0.0)).when(n < 2, one).otherwise((one + two) / (2 * n - 1))
 
 
 def _tokens(rows: DataFrame, *keep: str) -> DataFrame:
-    rows = rows.select(*keep, F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0)).alias("tokens"))
-    return rows.withColumn("n", F.size("tokens"))
+    tokens = F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0))
+    return rows.select(*keep, F.transform(tokens, lambda x: F.xxhash64(x)).alias("hashes")).withColumn("n", F.size("hashes"))
 
 
 def target_ids(labels: DataFrame, target_rows: int = TARGET_ROWS) -> DataFrame:
@@ -110,29 +120,27 @@ def target_ids(labels: DataFrame, target_rows: int = TARGET_ROWS) -> DataFrame:
     return good.groupBy("doc_id").agg(F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").limit(target_rows).select("doc_id")
 
 
-def ratio_model(docs: DataFrame, labels: DataFrame, target_rows: int = TARGET_ROWS, buckets: int = BUCKETS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def ratio_model(docs: DataFrame, labels: DataFrame, target_rows: int = TARGET_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row with `weights`: ln(p_target / p_raw) for each bucket."""
     trusted = target_ids(labels, target_rows).withColumn("trusted", F.lit(1))
     rows = id_and_text(docs, id_col, text_col).join(F.broadcast(trusted), "doc_id", "left")
-    grams = _tokens(rows, "trusted").select(F.coalesce("trusted", F.lit(0)).alias("trusted"), F.explode(_buckets(F.col("tokens"), F.col("n"), buckets)).alias("bucket"))
+    grams = _tokens(rows, "trusted").select(F.coalesce("trusted", F.lit(0)).alias("trusted"), F.explode(_buckets(F.col("hashes"), F.col("n"))).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.sum("trusted").alias("target"), F.count(F.lit(1)).alias("raw"))
-    every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left").na.fill(0)
-    # a fixed number of rows, `buckets`, meets here
+    every = docs.sparkSession.range(BUCKETS).select(F.col("id").alias("bucket")).join(counts, "bucket", "left").na.fill(0)
+    # a fixed number of rows, BUCKETS, meets here
     total = every.agg(F.array_sort(F.collect_list(F.struct("bucket", "target", "raw"))).alias("all"), F.sum("target").alias("t"), F.sum("raw").alias("r"))
-    weight = lambda x: F.log((x["target"] + 1) / (F.col("t") + buckets)) - F.log((x["raw"] + 1) / (F.col("r") + buckets))
-    return total.select(F.when(F.col("t") > 0, F.transform("all", weight)).otherwise(F.array_repeat(F.lit(0.0), buckets)).alias("weights"))
+    weight = lambda x: F.log((x["target"] + 1) / (F.col("t") + BUCKETS)) - F.log((x["raw"] + 1) / (F.col("r") + BUCKETS))
+    return total.select(F.when(F.col("t") > 0, F.transform("all", weight)).otherwise(F.array_repeat(F.lit(0.0), BUCKETS)).alias("weights"))
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, target_rows: int = TARGET_ROWS, buckets: int = BUCKETS, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, target_rows: int = TARGET_ROWS, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per row of docs: the base statistics, base_failed, kept, score (mean log ratio), n_grams, and the columns of carry."""
-    weights = constant_array(ratio_model(docs, labels, target_rows, buckets, id_col, text_col).first()["weights"])
+    weights = constant_array(ratio_model(docs, labels, target_rows, id_col, text_col).first()["weights"])
     stats = base_stats(docs, id_col, text_col, carry)
     names = [c for c in stats.columns if c != "text"]
-    scored = _tokens(stats, *names).select(*names, _buckets(F.col("tokens"), F.col("n"), buckets).alias("grams"))
-    scored = scored.withColumn("n_grams", F.size("grams"))
+    hashed = _tokens(stats, *names)
     # the model is a literal of fixed size, which every task has once
-    total = F.aggregate("grams", F.lit(0.0), lambda a, b: a + F.get(weights, b))
-    scored = scored.select(*names, F.col("n_grams").cast("long").alias("n_grams"), F.when(F.col("n_grams") > 0, total / F.col("n_grams")).otherwise(0.0).alias("score"))
+    scored = hashed.select(*names, (F.greatest(2 * F.col("n") - 1, F.lit(0))).cast("long").alias("n_grams"), _mean_weight(F.col("hashes"), F.col("n"), weights).alias("score"))
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
 
 
