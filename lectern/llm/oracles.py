@@ -35,4 +35,4 @@ SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, m.component_id
 FROM sets s JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) m ON m.a = s.doc_id
 """
 
-ORACLES = {"op8_exact_dedup": EXACT_DEDUP}
+ORACLES = {"op6_ngram_jaccard": JACCARD, "op8_exact_dedup": EXACT_DEDUP}

@@ -11,6 +11,7 @@ from . import chat_format
 from .best_fit_packing import best_fit_packing
 from .common import table
 from .exact_dedup import exact_dedup
+from .jaccard_join import jaccard_join
 from .lm_scoring import lm_scoring
 from .oracles import ORACLES
 from .piece_viterbi import piece_viterbi
@@ -41,6 +42,10 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -61,7 +66,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_quality_rules, op3_sentencepiece, op4_lm_scoring, op5_best_fit_packing, op7_toxicity, op8_exact_dedup, op9_chat_format, op10_url_filters)}
+    return {f.__name__: f for f in (op1_token_counts, op2_quality_rules, op3_sentencepiece, op4_lm_scoring, op5_best_fit_packing, op6_ngram_jaccard, op7_toxicity, op8_exact_dedup, op9_chat_format, op10_url_filters)}
 
 
 def oracle_sql() -> dict[str, str]:
