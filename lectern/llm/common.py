@@ -52,6 +52,16 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def fence(value: Column) -> Column:
+    """value, in a form that the optimiser computes once, where it stands.
+
+    A filter above would otherwise move below a projection with the expressions put in for its columns, and a column that a
+    lambda reads would be computed for each element. Spark moves nothing past what it holds not to be deterministic, as the number of
+    a partition.
+    """
+    return F.when(F.spark_partition_id() >= 0, value)
+
+
 def constant_array(values: list[float]) -> Column:
     """A literal array<double>: one string that the optimiser folds, in place of a call to the JVM for each element."""
     return F.split(F.lit(",".join(f"{x:.9g}" for x in values)), ",").cast("array<double>")

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NOT_WHITE, WHITE, constant_array, id_and_text
+from .common import NOT_WHITE, WHITE, constant_array, fence, id_and_text
 
 TARGET_ROWS = 20_000
 BITS = 16
@@ -67,13 +67,13 @@ def base_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = id_and_text(docs, id_col, text_col, *carry)
     rows = rows.withColumns(
         {
-            "words": F.filter(F.split("text", WHITE), lambda w: w != ""),
+            "words": fence(F.filter(F.split("text", WHITE), lambda w: w != "")),
             "lines": F.filter(F.split("text", "\n"), lambda x: x.rlike(NOT_WHITE)),
             "word_chars": _count_of(F.col("text"), WHITE).cast("long"),
             "n_symbols": _count_of(F.col("text"), r"[^#*$%&|<>]+").cast("long"),
         }
-    ).withColumns({"n": F.size("words"), "word_hashes": F.transform("words", lambda w: F.xxhash64(w))})
-    rows = rows.withColumn("windows", _sorted_windows(F.col("word_hashes"), F.col("n"))).drop("word_hashes")
+    ).withColumns({"n": F.size("words"), "word_hashes": fence(F.transform("words", lambda w: F.xxhash64(w)))})
+    rows = rows.withColumn("windows", fence(_sorted_windows(F.col("word_hashes"), F.col("n")))).drop("word_hashes")
     stats = rows.select(
         "doc_id",
         "text",
@@ -111,7 +111,7 @@ def _mean_weight(h: Column, n: Column, weights: Column) -> Column:
 
 def _tokens(rows: DataFrame, *keep: str) -> DataFrame:
     tokens = F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0))
-    return rows.select(*keep, F.transform(tokens, lambda x: F.xxhash64(x)).alias("hashes")).withColumn("n", F.size("hashes"))
+    return rows.select(*keep, fence(F.transform(tokens, lambda x: F.xxhash64(x))).alias("hashes")).withColumn("n", F.size("hashes"))
 
 
 def target_ids(labels: DataFrame, target_rows: int = TARGET_ROWS) -> DataFrame:

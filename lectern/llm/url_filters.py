@@ -20,7 +20,7 @@ import zlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import constant_array, lower_ascii
+from .common import constant_array, fence, lower_ascii
 
 BUCKETS = 4096
 ORDERS = (3, 4, 5)
@@ -114,7 +114,7 @@ def url_filters(pages: DataFrame, rules: list[tuple[str, str, str]] | None = Non
     """One row per row of pages: page_id, host, path, rule, verdict, p_block."""
     weights, bias = own_model() if rows is None else train(rows)
     host, path = host_and_path(F.col("url"))
-    parts = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url")).select("page_id", host.alias("host"), path.alias("path"))
+    parts = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url")).select("page_id", fence(host).alias("host"), fence(path).alias("path"))
     rule, decided = matching_rule(F.col("host"), F.col("path"), RULES if rules is None else rules)
     scored = parts.select("*", rule.alias("rule"), decided.alias("decided"), probability(F.col("host"), F.col("path"), weights, bias).alias("p_block"))
     verdict = F.coalesce("decided", F.when(F.col("p_block") >= threshold, "block").otherwise("allow"))
