@@ -31,7 +31,7 @@ MIN_STRENGTH = 5.0
 ORDERS = (4, 5, 6, 7, 8)
 BITS = 20
 THRESHOLD = 0.7
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 19
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 _SPACES = bytes.maketrans(b"\t\n\v\f\r", b"     ")
 _STEP, _MIX = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
@@ -150,7 +150,9 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, id_c
     sample = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
     # at most train_rows pairs of numbers
     rows = id_and_text(docs, id_col, text_col).join(F.broadcast(sample), "doc_id").select("doc_id", "text", "toxic").toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
-    return fit(rows.column("text").to_pylist(), rows.column("toxic").to_pylist())
+    texts, toxic = rows.column("text").to_pylist(), rows.column("toxic").to_pylist()
+    del rows
+    return fit(texts, toxic)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, train_rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
