@@ -62,6 +62,12 @@ def fence(value: Column) -> Column:
     return F.when(F.spark_partition_id() >= 0, value)
 
 
+def in_slices(column, rows: int = 512):
+    """The values of an Arrow column as lists of at most `rows`, so that few long texts are Python strings at a time."""
+    for at in range(0, len(column), rows):
+        yield column.slice(at, rows).to_pylist()
+
+
 def constant_array(values: list[float]) -> Column:
     """A literal array<double>: one string that the optimiser folds, in place of a call to the JVM for each element."""
     return F.split(F.lit(",".join(f"{x:.9g}" for x in values)), ",").cast("array<double>")

@@ -8,11 +8,13 @@ the matrix that the bounds leave over:
    rarest first. Any total order is right; this one keeps shared passages out of the next step.
 3. Rows are cut to their first n - ceil(0.8 n) + 1 shingles: two sets that are similar enough share one of those. These entries, packed in
    binary, are dealt to blocks of shingles, and each block lists the rows of each of its shingles.
-4. Stars. In each list every row is paired with the list's first one. Overlaps are summed over all blocks, and a pair is dropped if
-   they plus all that the cut shingles could add stay below 4/9 of the two sizes, which is what 0.8 needs. Whole sets
-   decide the rest. So a group of thousands of near copies becomes one component by as many pairs as it has members.
+4. Stars. In each list every row is paired with the list's first one, and whole sets decide a row's few pairs of most overlap. So most of
+   a group of thousands of near copies becomes one component by as many pairs as it has members.
 5. The product. Lists whose rows are all in one component are done, as more links cannot change it. In the others all pairs of rows of
-   different components are summed up, dropped below the same bound, and decided by whole sets. Nothing is lost by step 4.
+   different components are looked at where they stand: 512 bits of parity of each set bound its difference from another one from
+   below, and only pairs that this bound lets reach 0.8 are noted, as packed partners of a row. Overlaps are then summed
+   over all blocks, and a pair is dropped if they plus all that the cut shingles could add stay below 4/9 of the two sizes,
+   which is what 0.8 needs. Whole sets decide the rest. Nothing is lost by step 4.
 
 A shingle that the sketch finds in more than `list_rows` sets is split: its rows are salted, and each pair of salts is a list of
 its own, so no task holds more than about twice that number of rows of one shingle.
@@ -29,16 +31,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_and_text, materialise
+from .common import id_and_text, in_slices, materialise
 from .components import components
 
 WIDTH = 5
 SLOT_BITS = 18
 SKETCH_BLOCK = 1 << 14
 LIST_ROWS = 50_000
+PARITY_BITS = 512
+STAR_PAIRS = 3
 FILTER_BITS = 24
 _P1, _P2 = np.uint64(0x9E3779B185EBCA87), np.uint64(0xC2B2AE3D27D4EB4F)
 _ENTRY = np.dtype([("h", "<u8"), ("sig", "<u8"), ("n", "<u4"), ("cell", "<u4")])
@@ -66,36 +70,45 @@ def signature(found: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(found.tobytes(), seed=len(found))).astype(np.int64))
 
 
+def parity(found: np.ndarray) -> bytes:
+    """For each of PARITY_BITS slots, whether an odd number of the shingles falls there. Two sets differ in at least as many shingles as their bits do."""
+    odd = np.bincount((found & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
 def kept_entries(n):
     """How many of a set's n shingles the prefix bound needs."""
     return n - (4 * n + 4) // 5 + 1
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """doc_id, n, sig of each row; and, where block is not null, the counts of a part of the sketch."""
+    """doc_id, n, sig, bits of each row; and, where block is not null, the counts of a part of the sketch."""
+    names, kinds = ["doc_id", "n", "sig", "bits", "block", "counts"], [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, kinds = ["doc_id", "n", "sig", "block", "counts"], [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
         sketch, seen = np.zeros(1 << SLOT_BITS, np.int64), set()
         for batch in batches:
-            sizes, sigs, slots = [], [], []
-            for text in batch.column(1).to_pylist():
-                found = shingles(text)
-                sizes.append(len(found))
-                sigs.append(signature(found) if len(found) else None)
-                if len(found) and sigs[-1] not in seen:
-                    seen.add(sigs[-1])
-                    slots.append((found >> np.uint64(64 - SLOT_BITS)).astype(np.int32))
-            if slots:
-                sketch += np.bincount(np.concatenate(slots), minlength=len(sketch))
+            sizes, sigs, bits = [], [], []
+            for texts in in_slices(batch.column(1)):
+                slots = []
+                for text in texts:
+                    found = shingles(text)
+                    sizes.append(len(found))
+                    sigs.append(signature(found) if len(found) else None)
+                    bits.append(parity(found) if len(found) else None)
+                    if len(found) and sigs[-1] not in seen:
+                        seen.add(sigs[-1])
+                        slots.append((found >> np.uint64(64 - SLOT_BITS)).astype(np.int32))
+                if slots:
+                    sketch += np.bincount(np.concatenate(slots), minlength=len(sketch))
             none = [None] * len(sizes)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip((sizes, sigs, none, none), kinds[1:], strict=True))], names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip((sizes, sigs, bits, none, none), kinds[1:], strict=True))], names)
         if sketch.any():
             parts = sketch.astype("<u4").reshape(-1, SKETCH_BLOCK)
             none = [None] * len(parts)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((none, none, none, list(range(len(parts))), [p.tobytes() for p in parts]), kinds, strict=True)], names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((none, none, none, none, list(range(len(parts))), [p.tobytes() for p in parts]), kinds, strict=True)], names)
 
-    return docs.mapInArrow(run, "doc_id long, n long, sig long, block int, counts binary")
+    return docs.mapInArrow(run, "doc_id long, n long, sig long, bits binary, block int, counts binary")
 
 
 def _sketch(sets: DataFrame) -> np.ndarray:
@@ -150,7 +163,7 @@ def _entries(docs: DataFrame, sketch: np.ndarray, list_rows: int, buckets: int)
 
         for batch in batches:
             parts, held = [], 0
-            for text in batch.column(1).to_pylist():
+            for text in (t for texts in in_slices(batch.column(1)) for t in texts):
                 found = shingles(text)
                 if not len(found) or (sig := signature(found)) in seen:
                     continue
@@ -160,7 +173,7 @@ def _entries(docs: DataFrame, sketch: np.ndarray, list_rows: int, buckets: int)
                 own["h"], own["sig"], own["n"] = found[rarest], np.int64(sig).astype(np.uint64), len(found)
                 parts.append(own)
                 held += len(own)
-                if held > 1_000_000:
+                if held > 250_000:
                     yield dealt(parts)
                     parts, held = [], 0
             yield dealt(parts)
@@ -215,22 +228,31 @@ def _lists(entries: DataFrame) -> DataFrame:
     return entries.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
-def _cross_pairs(rows: DataFrame) -> DataFrame:
-    """a, b, na, nb, overlap: pairs of one list that are in different components, from rows (h, cell, node, n, component)."""
-    names = ["a", "b", "na", "nb", "overlap"]
+_PARTNER = np.dtype([("b", "<i8"), ("nb", "<i4"), ("c", "<i4")])
+
 
-    def pairs(own: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-        node, n, component = own[:, 0], own[:, 1], own[:, 2]
-        stop = np.searchsorted(n * 4, n * 5, "right")  # sorted by size: partners are the rows up to 5/4 of it
-        count = stop - np.arange(len(n)) - 1
-        at = 0
+def _partners(rows: DataFrame) -> DataFrame:
+    """a, na, partners (packed): per block of lists the rows of other components that stand in a list with a, have a larger id, and may be
+    similar enough by size and parity, with the number of such lists; from rows (h, cell, node, n, component, bits)."""
+
+    def pairs(keys: np.ndarray, bits: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """Of whole lists, all at once: rows are sorted by list and size, so the partners of a row are those up to 5/4 of its size."""
+        start = np.flatnonzero(np.concatenate([[True], (keys[1:, :2] != keys[:-1, :2]).any(1)]))
+        length = np.diff(np.concatenate([start, [len(keys)]]))
+        node, n, component = keys[:, 2], keys[:, 3], keys[:, 4]
+        base = np.repeat(np.arange(len(start)), length) * (8 * int(n.max(initial=0)) + 8)
+        count = np.searchsorted(base + 4 * n, base + 5 * n, "right") - np.arange(len(n)) - 1
+        sums, at = np.cumsum(count), 0
         while at < len(n):
-            to = at + max(1, int(np.searchsorted(np.cumsum(count[at:]), 500_000)))
-            i = np.repeat(np.arange(at, min(to, len(n))), count[at:to])
-            begin = np.concatenate([[0], np.cumsum(count[at:to])[:-1]])
-            j = i + 1 + np.arange(len(i)) - np.repeat(begin, count[at:to])
+            done = sums[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(sums, done + 100_000, "right")))
+            i = np.repeat(np.arange(at, to), count[at:to])
+            j = i + 1 + np.arange(len(i)) - np.repeat(sums[at:to] - count[at:to] - done, count[at:to])
             apart = component[i] != component[j]
             i, j = i[apart], j[apart]
+            differ = np.bitwise_count(bits[i] ^ bits[j]).sum(1, dtype=np.int64)
+            near = 9 * ((n[i] + n[j] - differ) // 2) >= 4 * (n[i] + n[j])
+            i, j = i[near], j[near]
             swap = node[i] > node[j]
             i, j = np.where(swap, j, i), np.where(swap, i, j)
             yield node[i], node[j], n[i], n[j]
@@ -240,44 +262,66 @@ def _cross_pairs(rows: DataFrame) -> DataFrame:
         held: list[tuple[np.ndarray, ...]] = []
 
         def flush() -> pa.RecordBatch:
-            out = _counted(*(np.concatenate(c) for c in zip(*held, strict=True))) if held else (np.zeros(0, np.int64),) * 5
+            a, b, na, nb, c = _counted(*(np.concatenate(x) for x in zip(*held, strict=True))) if held else (np.zeros(0, np.int64),) * 5
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in out], names)
+            packed = np.zeros(len(a), _PARTNER)
+            packed["b"], packed["nb"], packed["c"] = b, nb, c
+            bounds = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1], [True]])) if len(a) else np.zeros(1, int)
+            first = bounds[:-1]
+            return pa.RecordBatch.from_arrays([pa.array(a[first]), pa.array(na[first].astype(np.int64)), pa.array([packed[x:y].tobytes() for x, y in zip(first, bounds[1:], strict=True)], pa.binary())], ["a", "na", "partners"])
+
+        def of(parts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+            keys, bits = (np.concatenate(x) for x in zip(*parts, strict=True))
+            for found in pairs(keys, bits) if len(keys) else ():
+                held.append(found)
+                if sum(len(x[0]) for x in held) > 500_000:
+                    yield flush()
 
-        rest = np.zeros((0, 5), np.int64)
-        last = None
+        rest: list[tuple[np.ndarray, np.ndarray]] = []  # rows of the last list so far
         for batch in batches:
-            rows = np.stack([np.asarray(c) for c in batch.columns], 1) if batch.num_rows else np.zeros((0, 5), np.int64)
-            rest = np.concatenate([rest, rows])
-            if not len(rest):
+            if not batch.num_rows:
                 continue
-            last = rest[-1, :2]
-            whole = int(np.flatnonzero((rest[:, 0] != last[0]) | (rest[:, 1] != last[1]))[-1] + 1) if (rest[:, :2] != last).any() else 0
-            for own in _runs(rest[:whole]):
-                held.extend(pairs(own))
-                if sum(len(x[0]) for x in held) > 500_000:
-                    yield flush()
-            rest = rest[whole:]
-        for own in _runs(rest):
-            held.extend(pairs(own))
+            keys = np.stack([np.asarray(c) for c in batch.columns[:5]], 1)
+            bits = np.frombuffer(b"".join(batch.column(5).to_pylist()), "<u8").reshape(len(keys), -1)
+            other = (keys[:, :2] != keys[-1, :2]).any(1)
+            whole = int(np.flatnonzero(other)[-1]) + 1 if other.any() else 0
+            if whole or (rest and (rest[-1][0][-1, :2] != keys[0, :2]).any()):
+                yield from of([*rest, (keys[:whole], bits[:whole])])
+                rest = []
+            rest.append((keys[whole:], bits[whole:]))
+        if rest:
+            yield from of(rest)
         yield flush()
 
-    def _runs(rows: np.ndarray) -> Iterator[np.ndarray]:
-        """The lists with two components or more, as (node, n, component)."""
-        if len(rows):
-            cut = np.flatnonzero((rows[1:, :2] != rows[:-1, :2]).any(1)) + 1
-            for own in np.split(rows, cut):
-                if (own[:, 4] != own[0, 4]).any():
-                    yield own[:, 2:]
+    dealt = rows.select("h", "cell", "node", "n", "component", "bits").repartition("h", "cell").sortWithinPartitions("h", "cell", "n", "node")
+    return dealt.mapInArrow(run, "a long, na long, partners binary")
+
 
-    dealt = rows.select("h", "cell", "node", "n", "component").repartition("h", "cell").sortWithinPartitions("h", "cell", "n", "node")
-    return dealt.mapInArrow(run, ", ".join(f"{n} long" for n in names))
+def _summed(partners: DataFrame) -> DataFrame:
+    """a, b of the pairs whose overlap over all blocks may be enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def of(a: int, na: int, parts: list[bytes]) -> pa.RecordBatch:
+            every = np.frombuffer(b"".join(parts), _PARTNER)
+            every = every[np.argsort(every["b"], kind="stable")]
+            first = np.flatnonzero(np.concatenate([[True], every["b"][1:] != every["b"][:-1]]))
+            b, nb = every["b"][first], every["nb"][first].astype(np.int64)
+            shared = np.add.reduceat(every["c"].astype(np.int64), first)
+            good = 9 * (shared + np.maximum(na, nb) - kept_entries(np.maximum(na, nb))) >= 4 * (na + nb)
+            return pa.RecordBatch.from_arrays([pa.array(np.full(int(good.sum()), a)), pa.array(b[good])], ["a", "b"])
 
+        now, parts = None, []
+        for batch in batches:
+            for a, na, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if now != (a, na):
+                    if parts:
+                        yield of(*now, parts)
+                    now, parts = (a, na), []
+                parts.append(packed)
+        if parts:
+            yield of(*now, parts)
 
-def _possible(a_n: str, b_n: str) -> object:
-    """What the cut entries share, and all that the rest could, reach the bound."""
-    left = lambda c: F.floor((4 * F.col(c) + 4) / 5) - 1
-    return 9 * (F.col("overlap") + F.greatest(left(a_n), left(b_n))) >= 4 * (F.col(a_n) + F.col(b_n))
+    return partners.repartition("a").sortWithinPartitions("a").mapInArrow(run, "a long, b long")
 
 
 def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -299,9 +343,9 @@ def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
             slots = np.asarray(batch.column(2))
             hit = np.flatnonzero((known[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1)
             some = batch.take(pa.array(hit))
-            for at in range(0, len(hit), 2000):
-                texts = some.column(1).slice(at, 2000).to_pylist()
-                yield pa.RecordBatch.from_arrays([some.column(0).slice(at, 2000), pa.array([shingles(t).tobytes() for t in texts], pa.binary())], ["doc_id", "shingles"])
+            for at in range(0, len(hit), 512):
+                texts = some.column(1).slice(at, 512).to_pylist()
+                yield pa.RecordBatch.from_arrays([some.column(0).slice(at, 512), pa.array([shingles(t).tobytes() for t in texts], pa.binary())], ["doc_id", "shingles"])
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -326,19 +370,25 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     buckets = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = materialise(_sets(docs), "sets")
     sets = found.where("block IS NULL").select("doc_id", "n", "sig")
-    rows = materialise(sets.where("sig IS NOT NULL AND doc_id IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("node")), "rows")
+    grouped = found.where("sig IS NOT NULL AND doc_id IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("node"), F.first("bits").alias("bits"))
+    rows = materialise(grouped, "rows")
+    named = rows.select("sig", "node")
     lists = materialise(_lists(_entries(docs.where("doc_id IS NOT NULL"), _sketch(found), list_rows, buckets)), "lists")
 
-    stars = lists.where("h IS NULL").groupBy("sig", "leader").agg(F.max("n").alias("n"), F.max("leader_n").alias("leader_n"), F.sum("overlap").alias("overlap")).where(_possible("n", "leader_n"))
-    stars = stars.join(rows, "sig").withColumnRenamed("node", "a").join(rows.select(F.col("sig").alias("leader"), F.col("node").alias("b")), "leader").select("a", "b")
+    stars = lists.where("h IS NULL").groupBy("sig", "leader").agg(F.sum("overlap").alias("overlap"))
+    # the leaders of one row: as many as it has entries at most
+    stars = stars.withColumn("k", F.row_number().over(Window.partitionBy("sig").orderBy(F.desc("overlap"), "leader"))).where(F.col("k") <= STAR_PAIRS)
+    stars = stars.join(named, "sig").withColumnRenamed("node", "a").join(named.select(F.col("sig").alias("leader"), F.col("node").alias("b")), "leader").select("a", "b")
     linked = materialise(_verified(docs, stars), "linked")
     near = components(linked)
 
-    nodes = lists.where("h IS NOT NULL").select("h", "cell", "sig", "n").join(rows, "sig").join(near, "node", "left").select("h", "cell", "node", "n", F.coalesce("component", "node").alias("component"))
-    apart = _cross_pairs(nodes).groupBy("a", "b").agg(F.max("na").alias("na"), F.max("nb").alias("nb"), F.sum("overlap").alias("overlap")).where(_possible("na", "nb")).select("a", "b")
+    member = lists.where("h IS NOT NULL").select("h", "cell", "sig", "n").join(rows, "sig").join(near, "node", "left")
+    member = materialise(member.select("h", "cell", "node", "n", F.coalesce("component", "node").alias("component"), "bits"), "members")
+    mixed = member.groupBy("h", "cell").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("h", "cell")
+    apart = _summed(_partners(member.join(mixed, ["h", "cell"], "left_semi")))
     final = materialise(components(linked.unionByName(_verified(docs, apart))), "components")
 
-    named = materialise(rows.join(final, "node", "left").select("sig", F.coalesce("component", "node").alias("component")), "named")
+    named = materialise(named.join(final, "node", "left").select("sig", F.coalesce("component", "node").alias("component")), "named")
     out = sets.join(named, "sig", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 
