@@ -153,7 +153,8 @@ def lm_scoring(docs: DataFrame, labels: DataFrame, vocabulary: int = VOCABULARY,
     words = frequent_words(docs, vocabulary - SHAPES, id_col, text_col)
     encoded = materialise(encode(docs, words, id_col, text_col), "events")
     trusted = labels.where(F.col("quality") == 1).select(F.col("doc_id").cast("long").alias("doc_id")).distinct().withColumn("target", F.lit(1))
-    marked = encoded.join(trusted, "doc_id", "left").select("events", F.coalesce("target", F.lit(0)).alias("target"))
+    # the labels grow with the corpus, so they are not broadcast at any size
+    marked = encoded.join(trusted.hint("merge"), "doc_id", "left").select("events", F.coalesce("target", F.lit(0)).alias("target"))
     table = np.zeros((2, vocabulary, vocabulary), np.int64)
     for row in count_pairs(marked, vocabulary).toLocalIterator():
         table[:, row["v"]] = np.frombuffer(row["counts"], np.int64).reshape(2, vocabulary)
