@@ -1 +1 @@
-
+"""Settings, registered queries and whole pipelines."""

@@ -1 +1 @@
-
+"""Readers, the node store and sinks."""

@@ -1 +1 @@
-
+"""The same stages over streams of files."""
