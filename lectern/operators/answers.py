@@ -32,7 +32,6 @@ def answer_of(reply: str | None) -> str | None:
     return S.NO_ANSWER if _NONE.search(reply) or not reply.strip() else reply.strip()
 
 
-@F.pandas_udf("struct<answer:string,error:string>")
 def _answers(replies: pd.Series) -> pd.DataFrame:
     rows = []
     for reply in replies:
@@ -45,4 +44,4 @@ def _answers(replies: pd.Series) -> pd.DataFrame:
 
 def parse_answer(reply: Column) -> Column:
     """struct<answer, error>. Balanced braces are no regular language, so this is a loop in Python."""
-    return _answers(reply)
+    return F.pandas_udf(_answers, "struct<answer:string,error:string>")(reply)

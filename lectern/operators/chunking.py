@@ -51,14 +51,13 @@ def text_lines(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(key, F.posexplode(X.lines(F.col(text))).alias("line_no", "line"))
 
 
-@F.pandas_udf("array<string>")
 def _pieces(texts: pd.Series, limit: pd.Series) -> pd.Series:
     return pd.Series([split_text(t, n) for t, n in zip(texts, limit, strict=True)])
 
 
 def pieces(text: Column, limit: int = S.PIECE_TOKENS, rows_apart: bool = True) -> Column:
     """array<string>: the text in pieces of at most `limit` tokens. Splitting depends on what was packed before, so it is a loop."""
-    return _pieces(X.table_rows_apart(text) if rows_apart else text, F.lit(limit))
+    return F.pandas_udf(_pieces, "array<string>")(X.table_rows_apart(text) if rows_apart else text, F.lit(limit))
 
 
 def split_items(items: DataFrame, text: str, source: Column, order: list[str], file_name: Column | None = None, extra: Column | None = None, overlap: int = S.OVERLAP_WORDS) -> DataFrame:

@@ -40,7 +40,6 @@ def label_items(reply: str | None) -> list[tuple[int | None, int]]:
     return out
 
 
-@F.pandas_udf(PARSED)
 def _parsed(replies: pd.Series) -> pd.DataFrame:
     rows = []
     for reply in replies:
@@ -53,7 +52,7 @@ def _parsed(replies: pd.Series) -> pd.DataFrame:
 
 def parse_labels(reply: Column) -> Column:
     """struct<labels, error>: labels in the order of the reply, or the error."""
-    return _parsed(reply)
+    return F.pandas_udf(_parsed, PARSED)(reply)
 
 
 def table_neighbours(labels: DataFrame, candidates: DataFrame, chunks: DataFrame, question_id: str, chunk_id: str, source: str, window: int = S.TABLE_WINDOW, least: int = S.TABLE_LEAST, given: int = S.TABLE_GIVEN) -> DataFrame:

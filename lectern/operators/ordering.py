@@ -26,6 +26,6 @@ def with_position(df: DataFrame, order: list[Column], name: str = "position") ->
 
 def sequential_ids(df: DataFrame, source: str, order: list[str], name: str = "chunk_id") -> DataFrame:
     """Ids from 0 in the order of sources (each by its first row in `order`), then of `order`."""
-    first = df.groupBy(source).agg(F.min(F.struct(*order)).alias("_first")).withColumnRenamed(source, "_source")
-    placed = df.join(first, F.col(source).eqNullSafe(F.col("_source"))).drop("_source")
+    first = df.groupBy(source).agg(F.min(F.struct(*order)).alias("_first")).withColumnRenamed(source, "_first_of")
+    placed = df.join(first, F.col(source).eqNullSafe(F.col("_first_of"))).drop("_first_of")
     return with_position(placed, [F.col("_first"), F.col(source), *map(F.col, order)], name).drop("_first")

@@ -46,24 +46,22 @@ def breadcrumbs(lines: DataFrame, source: str, order: str, title: str, most_dept
     return rows.withColumn("breadcrumb", F.array_join(F.filter(F.array(F.col(source).cast("string"), *titles), lambda t: t.isNotNull() & (t != "")), joint)).drop("_own")
 
 
-@F.pandas_udf("array<int>")
 def _leaves(lengths: pd.Series, limit: pd.Series) -> pd.Series:
     return pd.Series([leaf_numbers(list(x), n) for x, n in zip(lengths, limit, strict=True)])
 
 
-@F.pandas_udf("array<int>")
 def _batches(sizes: pd.Series, limit: pd.Series) -> pd.Series:
     return pd.Series([batches(list(x), n) for x, n in zip(sizes, limit, strict=True)])
 
 
 def pack_leaves(lengths: Column, limit: int = S.LEAF_TOKENS) -> Column:
     """array<int>: the leaf of each line of a section, from the lengths of its lines. Only lengths go through Arrow."""
-    return _leaves(lengths, F.lit(limit))
+    return F.pandas_udf(_leaves, "array<int>")(lengths, F.lit(limit))
 
 
 def batch_lines(sizes: Column, limit: int = S.HEADING_BATCH_TOKENS) -> Column:
     """array<int>: the batch of each line, from token counts."""
-    return _batches(sizes, F.lit(limit))
+    return F.pandas_udf(_batches, "array<int>")(sizes, F.lit(limit))
 
 
 # ---------------------------------------------------------------- detection

@@ -26,7 +26,7 @@ def chunk_pages(pages: DataFrame, source, order: str, content: str, detector: tr
     lines = page_lines(pages, source, order, content)
     every = lines.groupBy("source").agg(F.min("page").alias("ord"), F.transform(F.array_sort(F.collect_list(F.struct("page", "line_in_page", "line"))), lambda x: x["line"]).alias("lines"))
     documents = every.withColumn("tables", F.lit(None).cast("map<string,string>"))
-    return _chunks(tree.chunk_documents(documents, detector), every.select("source", "ord"), X.file_name(F.col("source")))
+    return _chunks(tree.chunk_documents(documents, detector), every.select("source", "ord"), F.substring_index("source", "/", -1))
 
 
 def chunk_documents(documents: DataFrame, detector: tree.Detector | None = None) -> DataFrame:
@@ -66,10 +66,9 @@ def generate(chunks: DataFrame, chat: model.Chat, base: int = S.PREFILTER, most:
     # candidates
     deep = retrieval.is_deep(F.col("type"), F.col("difficulty"))
     limit = retrieval.candidate_limit(F.col("type"), F.col("difficulty"), base, most)
-    first = retrieval.prefilter(items, flat, "question_id", "question", "chunk_id", "chunk_id", limit=limit).select("question_id", "chunk_id", F.col("chunk_id").alias("position"), "rank")
-    first = cut(first, "candidates")
-    wide = items.where((F.col("type") == "table") | deep).select("question_id")
     placed = flat.withColumn("position", F.col("chunk_id"))
+    first = cut(retrieval.prefilter(items, placed, "question_id", "question", "chunk_id", "position", limit=limit).drop("score"), "candidates")
+    wide = items.where((F.col("type") == "table") | deep).select("question_id")
     widened = retrieval.neighbours(first.join(wide, "question_id", "left_semi"), placed, "question_id", "chunk_id", "position", "source", cap=most)
     found = cut(first.join(wide, "question_id", "left_anti").withColumn("is_neighbour", F.lit(False)).unionByName(widened), "candidates")
     rows = found.join(flat.select("chunk_id", "text"), "chunk_id").join(items.select("question_id", "question", F.when(deep, 2 * S.SNIPPET_WORDS).otherwise(S.SNIPPET_WORDS).alias("words")), "question_id")
