@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,11 +31,28 @@ def scratch(spark: SparkSession) -> str:
     return shared.rstrip("/")
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Arrow batches of at most `rows` rows for what runs inside.
+
+    Rows are whole texts here. Spark passes a batch on in direct memory, which is freed with the garbage only, so batches of 10,000 texts can
+    take as much beside the heap as the heap has.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Writes df to the shared folder and reads it back: lineage ends there, and a lost executor takes nothing with it."""
     spark = df.sparkSession
     path = f"{scratch(spark)}/lectern-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
