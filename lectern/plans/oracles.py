@@ -67,7 +67,7 @@ _PHRASES = (
     r"(SELECT item_id, list_filter(list_transform(regexp_extract_all(text, '[%U][%L]*(?:\s+[%U][%L]*)+'), lambda x: trim(x)), lambda x: length(x) > 3) AS p FROM {}))"
 ).replace("%U", UPPER).replace("%L", LOWER)
 #: Words 2 to 4 of a text with capitals, as a question.
-_NAMED = "'see ' || array_to_string(list_transform(({w})[2:4], lambda x: upper(substring(x, 1, 1)) || lower(substring(x, 2))), ' ')"
+_NAMED = "'see ' || array_to_string(list_transform(({w})[2:4], lambda x: translate(substring(x, 1, 1), 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') || lower(substring(x, 2))), ' ')"
 _SCORES = _scores("benchmark")
 
 _SHOWN = "chr(10) || 'ID: ' || CAST({i} AS VARCHAR) || chr(10) || chr(10) || 'Content:' || chr(10) || {t} || chr(10) || chr(10) || '------------------------' || chr(10)"
@@ -199,7 +199,7 @@ ORACLES = {
     "outer_braces": f"""WITH x AS (SELECT conv_id, turn, (conv_id + turn) % 2 = 0 AS braced, substring(text, 1, 20) AS s FROM conversations)
       SELECT conv_id, turn, CASE WHEN braced THEN '{{' || s || '{{}}}}' ELSE {_STRIP.format('s')} END AS guarded, CASE WHEN braced THEN '{{' || s || '{{}}}}' ELSE '' END AS bare FROM x""",
     "truncated_json": """WITH r AS (SELECT item_id, substring('{"items": [' || array_to_string(list_transform(range(5), lambda i: '{"id": ' || i || ', "level": 1}'), ', ') || ']}', 1, 20 + CAST(item_id % 130 AS INT)) AS reply FROM benchmark)
-      SELECT item_id, CASE WHEN ends_with(reply, ']}') THEN 5 WHEN contains(reply, '},') THEN (length(reply) - length(replace(reply, '},', ''))) // 2 ELSE CAST(contains(reply, '}') AS INT) END AS n_items FROM r""",
+      SELECT item_id, CAST(CASE WHEN ends_with(reply, ']}') THEN 5 WHEN closed > 1 THEN closed - 1 ELSE closed END AS INT) AS n_items FROM (SELECT *, length(reply) - length(replace(reply, '}', '')) AS closed FROM r)""",
     "props_json": "SELECT event_id, json_extract_string(props, '$.k') AS k, CAST(length(props) AS INT) AS n_chars FROM events",
     "failing_model": "SELECT 'generate_questions' AS stage, item_id, sha256(text) AS prompt_hash, 'ValueError: no' AS error FROM benchmark",
 }

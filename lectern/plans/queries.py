@@ -282,7 +282,7 @@ def proper_noun_phrases(spark, sf_dir):
 
 def _named(text):
     """Words 2 to 4 of a text with capitals, as a question."""
-    own = F.transform(F.slice(X.words(text), 2, 3), lambda x: F.concat(F.upper(F.substring(x, 1, 1)), F.lower(F.substr(x, F.lit(2)))))
+    own = F.transform(F.slice(X.words(text), 2, 3), lambda x: F.concat(F.translate(F.substring(x, 1, 1), "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), F.lower(F.substr(x, F.lit(2)))))
     return F.concat(F.lit("see "), F.array_join(own, " "))
 
 
