@@ -101,8 +101,12 @@ def matching_rule(host: Column, path: Column, rules: list[tuple[str, str, str]])
 def probability(host: Column, path: Column, weights: list[float], bias: float) -> Column:
     """Probability of block."""
     text = F.concat(F.lit("^"), host, F.lit("$"), path)
-    grams = [F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1))), lambda i, n=n: F.when(F.length(text) >= n, F.pmod(F.crc32(F.substr(text, i, F.lit(n)).cast("binary")), F.lit(BUCKETS)).cast("int"))) for n in ORDERS]
-    found = F.array_distinct(F.filter(F.concat(*grams), lambda x: x.isNotNull()))
+
+    def grams(n: int) -> Column:
+        bucket = lambda i: F.pmod(F.crc32(F.substr(text, i, F.lit(n)).cast("binary")), F.lit(BUCKETS)).cast("int")
+        return F.when(F.length(text) >= n, F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), bucket)).otherwise(F.array().cast("array<int>"))
+
+    found = F.array_distinct(F.concat(*map(grams, ORDERS)))
     model = constant_array(weights)
     total = F.aggregate(found, F.lit(0.0), lambda a, b: a + F.get(model, b))
     score = F.lit(bias) + total / F.sqrt(F.greatest(F.size(found), F.lit(1)))
