@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text
+from .common import id_and_text, in_slices, small_batches
 
 TRAIN_ROWS = 8_000
 MAX_FEATURES = 4_096
@@ -144,15 +144,29 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Learns from at most train_rows labelled rows that are not held out."""
+    """Learns from at most train_rows labelled rows that are not held out. They meet in one task, which gives the weights that are not zero."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True)), key=lambda r: r[:2])
+        model = fit([r[1] for r in rows], [r[2] for r in rows])
+        used = np.flatnonzero(model.weights)
+        # the bias stands in a row of its own
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(used, -1).astype(np.int32)), pa.array(np.append(model.weights[used].astype(float), model.bias))], ["bucket", "weight"])
+
     usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     usable = usable.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sample = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
     # at most train_rows pairs of numbers
-    rows = id_and_text(docs, id_col, text_col).join(F.broadcast(sample), "doc_id").select("doc_id", "text", "toxic").toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
-    texts, toxic = rows.column("text").to_pylist(), rows.column("toxic").to_pylist()
-    del rows
-    return fit(texts, toxic)
+    rows = id_and_text(docs, id_col, text_col).join(F.broadcast(sample), "doc_id").select("doc_id", "text", "toxic")
+    weights, bias = np.zeros(1 << BITS, np.float32), 0.0
+    with small_batches(docs.sparkSession):
+        found = rows.repartition(1).mapInArrow(run, "bucket int, weight double").collect()
+    for bucket, weight in found:
+        if bucket < 0:
+            bias = weight
+        else:
+            weights[bucket] = weight
+    return Model(weights, bias)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, train_rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -162,7 +176,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load()
         for batch in batches:
-            scores = model.scores(batch.column(1).to_pylist())
+            scores = np.concatenate([np.zeros(0), *(model.scores(texts) for texts in in_slices(batch.column(1)))])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(scores), pa.array((scores >= threshold).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
     return id_and_text(docs, id_col, text_col).withColumn("held_out", held_out(F.col("doc_id"))).mapInArrow(run, SCHEMA)
@@ -189,7 +203,7 @@ def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load()
         for batch in batches:
-            scores = model.scores([t or "" for t in batch.column(text_at).to_pylist()])
+            scores = np.concatenate([np.zeros(0), *(model.scores([t or "" for t in texts]) for texts in in_slices(batch.column(text_at)))])
             yield batch.filter(pa.array(scores < threshold))
 
     return docs.mapInArrow(run, docs.schema)
