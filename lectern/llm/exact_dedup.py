@@ -38,8 +38,9 @@ def directory(entries: DataFrame, bucket_capacity: int = BUCKET_CAPACITY, max_de
     """
     slots = entries.groupBy(_prefix(F.col("key"), F.lit(max_depth)).alias("slot")).agg(F.count(F.lit(1)).alias("n"))
     per_depth = slots.select("slot", "n", F.explode(F.sequence(F.lit(0), F.lit(max_depth))).alias("depth")).withColumn("prefix", F.call_function("shiftrightunsigned", F.col("slot"), max_depth - F.col("depth")))
-    sizes = per_depth.groupBy("depth", "prefix").agg(F.sum("n").alias("size"))
-    fitting = per_depth.select("slot", "depth", "prefix").join(sizes, ["depth", "prefix"]).where((F.col("size") <= bucket_capacity) | (F.col("depth") == max_depth))
+    sizes = per_depth.groupBy("depth", "prefix").agg(F.sum("n").alias("size")).where((F.col("size") <= bucket_capacity) | (F.col("depth") == max_depth))
+    # at most 2^(max_depth + 1) rows of two numbers: a few MB. Dealt by prefix, depth 0 would meet in one task
+    fitting = per_depth.select("slot", "depth", "prefix").join(F.broadcast(sizes.select("depth", "prefix")), ["depth", "prefix"])
     return fitting.groupBy("slot").agg(F.min("depth").alias("local_depth"))
 
 
