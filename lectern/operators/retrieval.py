@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions.splitting import estimate
 from ..plans import settings as S
+from ..sources.scratch import cut
 
 
 def idf(chunks: DataFrame, text: str = "text") -> DataFrame:
@@ -93,9 +94,11 @@ def prefilter(questions: DataFrame, chunks: DataFrame, question_id: str, questio
     # a constant bound first, for which Spark keeps only the best rows of each task before the exchange
     ranked = scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= most)
     ranked = ranked.join(asked, question_id).where((F.col("rank") <= F.col("_limit")) & (total > F.col("_limit"))).select(question_id, chunk_id, position, "score", "rank")
+    # at most `most` rows a question; scored once, though read twice
+    ranked = cut(ranked, "ranked")
     # the first chunks by position: at most `most` rows of two numbers
     head = placed.orderBy(position).limit(int(most)).withColumn("rank", F.row_number().over(Window.orderBy(position)))
-    rest = asked.join(scored.select(question_id).distinct(), question_id, "left_anti").unionByName(asked.where(F.col("_limit") >= total)).distinct()
+    rest = asked.join(ranked.select(question_id).distinct(), question_id, "left_anti")
     plain = rest.join(F.broadcast(head), F.col("rank") <= F.col("_limit")).select(question_id, chunk_id, position, F.lit(0.0).alias("score"), "rank")
     return ranked.unionByName(plain)
 
