@@ -16,10 +16,15 @@ from ..sources.scratch import cut
 
 def idf(chunks: DataFrame, text: str = "text") -> DataFrame:
     """token, df, idf = ln((N + 1) / (df + 1)) + 1."""
+    return _weighed(chunks.select(F.explode(X.tokens(F.col(text))).alias("token")), chunks)
+
+
+def _weighed(found: DataFrame, chunks: DataFrame) -> DataFrame:
+    """The weights of tokens, of which `found` has one row for each chunk that holds them."""
     # N is one number, put in as a scalar subquery
     total = chunks.agg(F.count(F.lit(1)).alias("n")).scalar()
-    found = chunks.select(F.explode(X.tokens(F.col(text))).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    return found.select("token", "df", (F.log((total + 1) / (F.col("df") + 1)) + 1).alias("idf"))
+    counted = found.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    return counted.select("token", "df", (F.log((total + 1) / (F.col("df") + 1)) + 1).alias("idf"))
 
 
 def postings(chunks: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -51,10 +56,12 @@ def scores(questions: DataFrame, chunks: DataFrame, question_id: str, question:
     """
     asked = questions.select(F.col(question_id).alias("q"), F.explode(X.tokens(F.col(question))).alias("token"))
     tokens = asked.select("token").distinct()
-    posted = postings(chunks.select(F.col(chunk_id).alias("c"), F.col(text).alias("text")), "c")
+    # texts are taken apart once: words, weights, counts and phrases all read the postings
+    posted = cut(postings(chunks.select(F.col(chunk_id).alias("c"), F.col(text).alias("text")), "c"), "postings")
     inside = tokens_in_words(tokens, posted.select("word").distinct())
     counts = posted.join(inside, "word").groupBy("c", "token").agg(F.sum(F.col("tf") * F.col("inside")).alias("n"))
-    weights = tokens.join(idf(chunks, text).select("token", "idf"), "token", "left").select("token", F.coalesce("idf", F.lit(1.0)).alias("idf"))
+    known = _weighed(posted.select(F.col("word").alias("token")), chunks)
+    weights = tokens.join(known.select("token", "idf"), "token", "left").select("token", F.coalesce("idf", F.lit(1.0)).alias("idf"))
     weighted = asked.join(weights, "token").join(counts, "token").select("q", "c", (F.col("n") * F.col("idf")).alias("s"))
     bonus = _phrase_bonus(questions, chunks, inside, posted, question_id, question, chunk_id, text)
     total = weighted.unionByName(bonus).groupBy("q", "c").agg(F.round(F.sum("s"), 6).alias("score"))

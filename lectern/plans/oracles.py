@@ -81,7 +81,7 @@ related AS (SELECT a AS doc_id, CAST(row_number() OVER (PARTITION BY a ORDER BY
 
 _GRADED = """graded AS (
   SELECT d.source AS question_id, l.doc_id, l.quality * 2 + l.toxic AS relevance FROM labels l JOIN documents d ON d.doc_id = l.doc_id
-  WHERE l.doc_id % 3 = 0 AND l.quality * 2 + l.toxic > 0
+  WHERE l.quality * 2 + l.toxic > 0
 )"""
 
 _DISTANCE = "round(1 - list_dot_product(CAST(embedding AS DOUBLE[]), q.v) / (sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) * sqrt(list_dot_product(q.v, q.v))), 6)"
@@ -130,7 +130,7 @@ ORACLES = {
       y AS (SELECT page_id, regexp_split_to_array(t, '(?is)(?:<table.*?</table>|<img[^>]*>)') AS b, regexp_extract_all(t, '(?is)(<table.*?</table>|<img[^>]*>)') AS m FROM x),
       z AS (SELECT page_id, list_filter(flatten(list_transform(b, lambda v, i: [{'segment': v, 'is_media': false}, {'segment': m[i], 'is_media': true}])), lambda s: s.segment IS NOT NULL AND s.segment <> '') AS s FROM y)
       SELECT page_id, CAST(generate_subscripts(s, 1) - 1 AS INT) AS pos, unnest(s).segment AS segment, unnest(s).is_media AS is_media FROM z""",
-    "overlap_tail": _overlap("benchmark", "item_id", "substring(text, 1, 60)", 20, "k AS item_id, t AS text"),
+    "overlap_tail": _overlap("benchmark", "item_id", "text", 50, "k AS item_id, t AS text"),
     "documents_overlap": _overlap("documents", "doc_id", "text", 50, "k AS doc_id, CAST(length(t) AS INT) AS n_chars, md5(t) AS text_md5"),
     "heading_depth": f"""WITH RECURSIVE {_LEVELS}, i AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY line_no) AS i FROM lines),
       d AS (SELECT source, line_no, level, i, 1 AS depth FROM i WHERE i = 1 UNION ALL SELECT i.source, i.line_no, i.level, i.i, least(i.level, d.depth + 1) FROM d JOIN i ON i.source = d.source AND i.i = d.i + 1)
@@ -156,14 +156,14 @@ ORACLES = {
     "document_listing": "SELECT lpad(CAST(doc_id AS VARCHAR), 8, '0') AS id, source AS bot_id, md5(text) AS name FROM documents WHERE source = 'src3' ORDER BY name, id LIMIT 50",
     "document_half": "SELECT id, name FROM (SELECT lpad(CAST(doc_id AS VARCHAR), 8, '0') AS id, md5(text) AS name, row_number() OVER (ORDER BY md5(text), doc_id) AS k, count(*) OVER () AS n FROM documents) WHERE k <= n // 2",
     "idempotent_append": "SELECT c_custkey, CASE WHEN c_custkey % 2 = 1 THEN 'held' ELSE c_name END AS c_name, c_nationkey FROM customer",
-    "conditional_tsv": f"SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN doc_id % 5 = 0 THEN 'held' WHEN doc_id % 3 <> 0 THEN array_to_string(list_sort({_TOKENS.format('substring(text, 1, 300)')}), ' ') END AS tsv FROM documents",
+    "conditional_tsv": f"SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN doc_id % 5 = 0 THEN 'held' WHEN doc_id % 3 <> 0 THEN array_to_string(list_sort({_TOKENS.format('text')}), ' ') END AS tsv FROM documents",
     "vector_topk": f"WITH q AS (SELECT CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id = 0) SELECT vec_id, label, {_DISTANCE} AS distance FROM embeddings, q ORDER BY distance, vec_id LIMIT 10",
     "vector_topk_filtered": f"WITH q AS (SELECT CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id = 0) SELECT vec_id, label, {_DISTANCE} AS distance FROM embeddings, q WHERE label IN (3, 4, 5) ORDER BY distance, vec_id LIMIT 10",
     "vector_topk_path": f"""WITH q AS (SELECT CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id = 0),
       hits AS (SELECT vec_id, 'v' || vec_id AS node_id, label, {_DISTANCE} AS distance FROM embeddings, q ORDER BY distance, node_id LIMIT 5)
       SELECT row_number() OVER (ORDER BY distance, node_id) - 1 AS chunk_id, '[root label ' || label || ']' || chr(10) || 'leaf ' || vec_id AS text, 'name ' || (label % 2) AS source, 'root label ' || label AS breadcrumb, node_id, distance FROM hits""",
     "store_chunks": f"""WITH RECURSIVE {_TREE}, numbered AS (SELECT id, content, CAST(substring(id, 2) AS BIGINT) AS k FROM nodes),
-      seeds AS (SELECT id, content FROM numbered WHERE id LIKE 'o%' AND k % 7 = 0 AND k % 3 IN (1, 2)), {_PATHS}
+      seeds AS (SELECT id, content FROM numbered WHERE id LIKE 'o%' AND k % 3 IN (1, 2)), {_PATHS}
       SELECT row_number() OVER (ORDER BY CASE d WHEN 2 THEN 0 ELSE 1 END, order_index, path, leaf_id) - 1 AS chunk_id, CASE WHEN breadcrumb <> '' THEN '[' || breadcrumb || ']' || chr(10) || own ELSE own END AS text,
         CASE d WHEN 1 THEN 'First' ELSE 'doc2' END AS source, breadcrumb, leaf_id AS node_id, 'doc' || d AS document_id
       FROM (SELECT *, CAST(substring(leaf_id, 2) AS BIGINT) % 3 AS d FROM crumbs)""",
@@ -184,19 +184,19 @@ ORACLES = {
     "related_chunks": f"WITH {_RELATED} SELECT doc_id, slot, related_id FROM related",
     "related_prompt": f"""WITH {_RELATED}, s AS (SELECT r.doc_id, string_agg('ID: ' || d.doc_id || ' (source: ' || d.source || ')' || chr(10) || 'Content:' || chr(10) || d.text, chr(10) || chr(10) ORDER BY slot) AS x FROM related r JOIN documents d ON d.doc_id = r.related_id GROUP BY 1)
       SELECT doc_id, CAST(length(p) AS INT) AS n_chars, md5(p) AS prompt_md5 FROM (SELECT doc_id, doc_id || '|' || text || '|' || coalesce(x, '') AS p FROM documents LEFT JOIN s USING (doc_id))""",
-    "question_validation": """WITH b AS (SELECT item_id, substring(text, 1, 30) AS question FROM benchmark WHERE item_id % 4 <> 3)
+    "question_validation": """WITH b AS (SELECT item_id, text AS question FROM benchmark WHERE item_id % 4 <> 3)
       SELECT item_id, 0 AS item_no, question, 'one-hop' AS type, 'easy' AS difficulty, '7' AS source_chunk_ids FROM b
       UNION ALL SELECT item_id, 1, question, 'multi-hop', 'hard', '7,8,9' FROM b UNION ALL SELECT item_id, 2, question, 'table', 'medium', '8,7' FROM b""",
     "label_parse": "SELECT doc_id, doc_id % 4 = 3 AS failed, CASE WHEN doc_id % 4 = 3 THEN '' WHEN quality * 2 + toxic > 0 THEN doc_id || ':' || (quality * 2 + toxic) || ',5:1' ELSE '5:1' END AS labels FROM labels",
     "table_neighbour_labels": f"""WITH {_GRADED} SELECT question_id, doc_id, relevance FROM graded UNION ALL
-      SELECT DISTINCT g.question_id, d.doc_id, 1 FROM graded g JOIN documents a ON a.doc_id = g.doc_id JOIN documents d ON d.source = a.source AND abs(d.doc_id - g.doc_id) IN (1, 2) AND d.doc_id % 2 = 0
+      SELECT DISTINCT g.question_id, d.doc_id, 1 FROM graded g JOIN documents a ON a.doc_id = g.doc_id JOIN documents d ON d.source = a.source AND abs(d.doc_id - g.doc_id) IN (1, 2)
       WHERE g.relevance >= 2 AND d.source = g.question_id AND NOT EXISTS (SELECT 1 FROM graded x WHERE x.question_id = g.question_id AND x.doc_id = d.doc_id)""",
     "sorted_labels": f"WITH {_GRADED} SELECT question_id, string_agg(doc_id || ':' || relevance, ',' ORDER BY relevance DESC, doc_id) AS labels FROM graded GROUP BY 1",
     "enrich_labels": f"SELECT l.doc_id * 2 AS chunk_id, l.quality, d.source, CASE WHEN d.doc_id IS NOT NULL THEN d.source END AS file_name, {_STRIP.format('substring(d.text, 1, 200)')} AS text_snippet, CASE WHEN d.doc_id IS NULL THEN 'unknown chunk_id' END AS error FROM labels l LEFT JOIN documents d ON d.doc_id = l.doc_id * 2",
-    "answer_parse": f"""WITH x AS (SELECT conv_id, turn, (conv_id + turn) % 7 AS k, translate(substring(text, 1, 40), '"''' || chr(10) || '{{}}', '') AS x FROM conversations)
+    "answer_parse": f"""WITH x AS (SELECT conv_id, turn, (conv_id + turn) % 7 AS k, translate(text, '"''' || chr(10) || '{{}}', '') AS x FROM conversations)
       SELECT conv_id, turn, CASE WHEN k = 0 THEN x WHEN k IN (1, 2) AND {_STRIP.format('x')} <> '' THEN {_STRIP.format('x')} WHEN k = 4 AND {_STRIP.format('x')} <> '' THEN {_STRIP.format('x')} WHEN k = 1 THEN 'answer = ''' || x || '''' WHEN k = 2 THEN 'So.' || chr(10) || 'Answer:'
         ELSE 'Not enough information to answer the question.' END AS answer FROM x""",
-    "outer_braces": f"""WITH x AS (SELECT conv_id, turn, (conv_id + turn) % 2 = 0 AS braced, substring(text, 1, 20) AS s FROM conversations)
+    "outer_braces": f"""WITH x AS (SELECT conv_id, turn, (conv_id + turn) % 2 = 0 AS braced, text AS s FROM conversations)
       SELECT conv_id, turn, CASE WHEN braced THEN '{{' || s || '{{}}}}' ELSE {_STRIP.format('s')} END AS guarded, CASE WHEN braced THEN '{{' || s || '{{}}}}' ELSE '' END AS bare FROM x""",
     "truncated_json": """WITH r AS (SELECT item_id, substring('{"items": [' || array_to_string(list_transform(range(5), lambda i: '{"id": ' || i || ', "level": 1}'), ', ') || ']}', 1, 20 + CAST(item_id % 130 AS INT)) AS reply FROM benchmark)
       SELECT item_id, CAST(CASE WHEN ends_with(reply, ']}') THEN 5 WHEN closed > 1 THEN closed - 1 ELSE closed END AS INT) AS n_items FROM (SELECT *, length(reply) - length(replace(reply, '}', '')) AS closed FROM r)""",

@@ -90,9 +90,8 @@ def split_items(spark, sf_dir):
 
 
 def overlap_tail(spark, sf_dir):
-    """Questions as very short chunks, whose overlap reaches back over several of them."""
-    docs = t(spark, sf_dir, "benchmark").select("item_id", F.substring("text", 1, 60).alias("text"))
-    return C.apply_overlap(docs, "item_id", "text", n_words=20).select("item_id", "text")
+    """Questions as short chunks, whose overlap reaches back over several of them."""
+    return C.apply_overlap(t(spark, sf_dir, "benchmark").select("item_id", "text"), "item_id").select("item_id", "text")
 
 
 def documents_overlap(spark, sf_dir):
@@ -225,7 +224,7 @@ def conditional_tsv(spark, sf_dir):
     """Every third document is a parent without a vector, every fifth has its words already."""
     docs = t(spark, sf_dir, "documents")
     vector = F.when(F.col("doc_id") % 3 != 0, F.array(F.lit(1.0).cast("float")))
-    nodes = docs.select(F.col("doc_id").cast("string").alias("id"), F.lit("d").alias("document_id"), F.substring("text", 1, 300).alias("content"), vector.alias("embedding"), F.when(F.col("doc_id") % 5 == 0, F.array(F.lit("held"))).alias("tsv"))
+    nodes = docs.select(F.col("doc_id").cast("string").alias("id"), F.lit("d").alias("document_id"), F.col("text").alias("content"), vector.alias("embedding"), F.when(F.col("doc_id") % 5 == 0, F.array(F.lit("held"))).alias("tsv"))
     return store.with_text_index(nodes).select("id", F.array_join("tsv", " ").alias("tsv"))
 
 
@@ -262,7 +261,7 @@ def store_chunks(spark, sf_dir):
     """Orders as leaves of two documents, one of which has no row of its own."""
     nodes, links = _tree_tables(spark, sf_dir)
     number = F.regexp_extract("id", r"(\d+)", 1).cast("long")
-    nodes = nodes.select("id", F.concat(F.lit("doc"), (number % 3).cast("string")).alias("document_id"), "content", F.when(F.startswith("id", F.lit("o")) & (number % 7 == 0), F.array(F.lit(1.0).cast("float"))).alias("embedding"))
+    nodes = nodes.select("id", F.concat(F.lit("doc"), (number % 3).cast("string")).alias("document_id"), "content", F.when(F.startswith("id", F.lit("o")), F.array(F.lit(1.0).cast("float"))).alias("embedding"))
     wanted = spark.createDataFrame([("doc2", 0), ("doc1", 1)], "document_id string, ord int")
     documents = spark.createDataFrame([("doc1", "bot", "First", True)], store.DOCUMENTS)
     rows = store.leaf_chunks(wanted, documents, nodes, links)
@@ -357,7 +356,7 @@ def related_prompt(spark, sf_dir):
 
 def question_validation(spark, sf_dir):
     """A reply for each benchmark item: fenced, with prose around it, broken, or with items that fail the checks."""
-    items = t(spark, sf_dir, "benchmark").select("item_id", F.to_json(F.struct(F.substring("text", 1, 30).alias("q"))).alias("j"))
+    items = t(spark, sf_dir, "benchmark").select("item_id", F.to_json(F.struct(F.col("text").alias("q"))).alias("j"))
     q = F.regexp_extract("j", r'^\{"q":(.*)\}$', 1)
     item = lambda kind, hard, ids: F.concat(F.lit('{"question": '), q, F.lit(f', "type": "{kind}", "difficulty": "{hard}", "source_chunk_ids": '), F.lit(ids), F.lit("}"))
     listed = F.concat_ws(", ", item("one-hop", "easy", '["7", 7, "x"]'), item("two-hop", "easy", "[]"), item("multi-hop", "hard", "[]"), item("table", "medium", '["8", "7"]'), F.lit('{"type": "table", "difficulty": "easy"}'))
@@ -380,12 +379,12 @@ def label_parse(spark, sf_dir):
 
 
 def _graded(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Labels of questions (source of the document), all documents of even id as candidates, and documents."""
+    """Labels of questions (one for each source), the documents of its source as its candidates, and documents."""
     docs = t(spark, sf_dir, "documents")
     rows = t(spark, sf_dir, "labels").join(docs.select("doc_id", "source"), "doc_id")
-    graded = rows.where("doc_id % 3 = 0").select(F.col("source").alias("question_id"), "doc_id", (F.col("quality") * 2 + F.col("toxic")).alias("relevance"))
+    graded = rows.select(F.col("source").alias("question_id"), "doc_id", (F.col("quality") * 2 + F.col("toxic")).alias("relevance"))
     graded = graded.where("relevance > 0").withColumn("pos", F.row_number().over(Window.partitionBy("question_id").orderBy("doc_id")) - 1)
-    return graded, docs.where("doc_id % 2 = 0").select(F.col("source").alias("question_id"), "doc_id"), docs
+    return graded, docs.select(F.col("source").alias("question_id"), "doc_id"), docs
 
 
 def table_neighbour_labels(spark, sf_dir):
@@ -408,7 +407,7 @@ def enrich_labels(spark, sf_dir):
 
 def answer_parse(spark, sf_dir):
     """A reply for each turn of a conversation: one for each rung of the ladder."""
-    rows = t(spark, sf_dir, "conversations").select("conv_id", "turn", F.translate(F.substring("text", 1, 40), "\"'\n{}", "").alias("x"), ((F.col("conv_id") + F.col("turn")) % 7).alias("k"))
+    rows = t(spark, sf_dir, "conversations").select("conv_id", "turn", F.translate("text", "\"'\n{}", "").alias("x"), ((F.col("conv_id") + F.col("turn")) % 7).alias("k"))
     x = F.col("x")
     reply = (
         F.when(F.col("k") == 0, F.concat(F.lit('```json {"answer": "'), x, F.lit('"} trailing }```')))
@@ -425,7 +424,7 @@ def answer_parse(spark, sf_dir):
 
 def outer_braces(spark, sf_dir):
     """The guarded and the unguarded cleaner over replies with and without braces."""
-    rows = t(spark, sf_dir, "conversations").select("conv_id", "turn", F.when((F.col("conv_id") + F.col("turn")) % 2 == 0, F.concat(F.lit("```json a {"), F.substring("text", 1, 20), F.lit("{}} b```"))).otherwise(F.concat(F.lit(" "), F.substring("text", 1, 20), F.lit(" "))).alias("reply"))
+    rows = t(spark, sf_dir, "conversations").select("conv_id", "turn", F.when((F.col("conv_id") + F.col("turn")) % 2 == 0, F.concat(F.lit("```json a {"), F.col("text"), F.lit("{}} b```"))).otherwise(F.concat(F.lit(" "), F.col("text"), F.lit(" "))).alias("reply"))
     return rows.select("conv_id", "turn", X.outer_braces(F.col("reply")).alias("guarded"), X.outer_braces(F.col("reply"), guarded=False).alias("bare"))
 
 
