@@ -1,13 +1,14 @@
 """Best-fit packing of tokenised documents into sequences of at most `capacity` tokens, with a fixed number of open bins.
 
 A document is its token ids and an end id. Only a document longer than a sequence is cut: into full pieces, after a first one that may be
-shorter. Pieces arrive one by one; each goes to the open bin with the least free space that holds it. Open bins are
-keyed by free space in a bitset (one integer of capacity + 1 bits), so that bin is the lowest set bit at or above the length. If
+shorter. Pieces arrive in windows of a fixed number, the longest of a window first; each goes to the open bin with the least free space
+that holds it. Open bins are keyed by free space in a bitset (one integer of capacity + 1 bits), so that bin is the lowest set bit at or above the length. If
 none fits, a bin is opened; if `open_bins` are open already, the fullest of them closes first.
 
-Tasks pack on their own, so memory is bounded by the open bins and the result has no order to keep. Bins that are still open when a task
-ends go through the same packer once more, as units, in groups of tasks: `gather` tasks share one second packer, and so the
-number of half-empty sequences falls by that factor. Only rows of a few numbers are exchanged, never tokens.
+Tasks pack on their own, so memory is bounded by the window and the open bins, and the result has no order to keep. Bins that are still
+open and less than `full` filled when a task ends are taken apart, and their pieces go through the same packer once more, in groups of
+tasks: `gather` tasks share one second packer, and so the number of half-empty sequences falls by that factor. Only rows of a few numbers
+are exchanged, never tokens.
 
 Defined results: a null or empty text is its end id alone; a null id stays null; repeated rows are packed each; an empty table gives no
 rows; other columns are ignored.
@@ -23,10 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, public_vocabulary
+from .common import id_and_text, in_slices, public_vocabulary
 
 CAPACITY = 1024
-OPEN_BINS = 256
+OPEN_BINS = 1024
+WINDOW = 4096
+FULL = 0.97
 GATHER = 16
 END_ID = 2
 SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
@@ -139,7 +142,7 @@ def _bins(found: list | None) -> Iterator[list]:
             yield found[at + 1 :]
 
 
-def best_fit_packing(docs: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS, gather: int = GATHER, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def best_fit_packing(docs: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS, window: int = WINDOW, full: float = FULL, gather: int = GATHER, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,36 +158,42 @@ def best_fit_packing(docs: DataFrame, capacity: int = CAPACITY, open_bins: int =
                 out.add(*item, made, offset, group)
             made += 1
 
+        def pack(some: list[tuple]) -> None:
+            for item in sorted(some, key=lambda x: -x[3]):
+                for bin_ in _bins(packer.add(item, item[3])):
+                    close(bin_, -1)
+            some.clear()
+
+        waiting: list[tuple] = []
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for piece in pieces(encoder.encode(text), end_id, capacity):
-                    for bin_ in _bins(packer.add((doc_id, *piece), piece[2])):
-                        close(bin_, -1)
+            for at, texts in enumerate(in_slices(batch.column(1))):
+                for doc_id, text in zip(batch.column(0).slice(512 * at, 512).to_pylist(), texts, strict=True):
+                    waiting += [(doc_id, *piece) for piece in pieces(encoder.encode(text), end_id, capacity)]
+                    if len(waiting) >= window:
+                        pack(waiting)
             yield out.batch()
+        pack(waiting)
         for bin_ in packer.rest():
-            close(bin_, part // gather)
+            close(bin_, -1 if sum(item[3] for item, _ in bin_) >= full * capacity else part // gather)
         yield out.batch()
 
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Passes closed sequences on and packs the open ones of each group, whole bins as units, the largest first."""
-        groups: dict[int, dict[int, list]] = {}
+        """Passes closed sequences on and packs the pieces of the open ones of each group, the longest first; their new numbers are negative."""
+        groups: dict[int, list[list]] = {}
         for batch in batches:
             shut = np.asarray(batch.column(7)) < 0
             yield batch.filter(pa.array(shut)).select(_NAMES)
             for *row, group in zip(*(c.to_pylist() for c in batch.filter(pa.array(~shut)).columns), strict=True):
-                groups.setdefault(group, {}).setdefault(row[5], []).append(row)
+                groups.setdefault(group, []).append(row[:5])
         out = _Out()
-        for group in sorted(groups):
-            packer = BestFit(capacity, open_bins)
-            filled = sorted(((sum(r[3] for r in rows), made) for made, rows in groups[group].items()), reverse=True)
-            done = []
-            for length, made in filled:
-                done += _bins(packer.add(made, length))
+        for group, rows in sorted(groups.items()):
+            packer, done = BestFit(capacity, len(rows)), []
+            for row in sorted(rows, key=lambda r: (-r[3], r[0] is None, r[0], r[1])):
+                done += _bins(packer.add(row, row[3]))
             done += packer.rest()
-            for bin_ in done:
-                for made, offset in bin_:
-                    for row in groups[group][made]:
-                        out.add(*row[:5], bin_[0][0], row[6] + offset)
+            for k, bin_ in enumerate(done):
+                for row, offset in bin_:
+                    out.add(*row, -1 - (group << 32) - k, offset)
             yield out.batch()
 
     packed = id_and_text(docs, id_col, text_col).mapInArrow(first, f"{SCHEMA}, open long")

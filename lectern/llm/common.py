@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import contextlib
-import tempfile
 import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import folder
+
 #: White space of the contracts: space, tab, line feed, vertical tab, form feed, carriage return.
 WHITE = r"[\x20\x09-\x0D]+"
 NOT_WHITE = r"[^\x20\x09-\x0D]+"
@@ -19,18 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a local one is made only where the setting is absent (tests)."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        context = spark.sparkContext
-        shared = context.getCheckpointDir()
-        if not shared:
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="lectern-"))
-            shared = context.getCheckpointDir()
-    return shared.rstrip("/")
-
-
 @contextlib.contextmanager
 def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
     """Arrow batches of at most `rows` rows for what runs inside.
@@ -50,7 +39,7 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Writes df to the shared folder and reads it back: lineage ends there, and a lost executor takes nothing with it."""
     spark = df.sparkSession
-    path = f"{scratch(spark)}/lectern-{label}-{uuid.uuid4().hex}"
+    path = f"{folder(spark)}/lectern-{label}-{uuid.uuid4().hex}"
     with small_batches(spark):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

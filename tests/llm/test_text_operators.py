@@ -219,7 +219,7 @@ def test_packing_round_trip(spark, odd_docs, empty_docs):
     rows.append((200, "before <|endoftext|> after", None, None, None))
     docs = odd_docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(spark.createDataFrame(rows, odd_docs.schema)).repartition(5)
     texts = {r.doc_id: r.text or "" for r in docs.collect()}
-    got = pack.best_fit_packing(docs, open_bins=3, gather=2).collect()
+    got = pack.best_fit_packing(docs, open_bins=3, window=7, gather=2).collect()
     ids = {d: np.array([*library.encode(t, add_special_tokens=False).ids, 2], "<u4") for d, t in texts.items()}
     by_doc, by_bin = {}, {}
     for r in got:
