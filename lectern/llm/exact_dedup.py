@@ -46,7 +46,7 @@ def directory(entries: DataFrame, bucket_capacity: int = BUCKET_CAPACITY, max_de
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_capacity: int = BUCKET_CAPACITY, max_depth: int = MAX_DEPTH) -> DataFrame:
     """One row per different text: bucket, key, chain (0 for the first text of a key), text_sha256, keep_id, group_size."""
-    rows = id_and_text(docs, id_col, text_col).select("doc_id", one_space(F.col("text")).alias("norm")).withColumn("key", F.xxhash64("norm"))
+    rows = id_and_text(docs, id_col, text_col).select(F.col("doc_id"), one_space(F.col("text")).alias("norm")).withColumn("key", F.xxhash64("norm"))
     groups = rows.groupBy("key", "norm").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     entries = materialise(groups.select("key", F.sha2("norm", 256).alias("text_sha256"), "keep_id", "group_size"), "entries")
     slots = directory(entries, bucket_capacity, max_depth)
@@ -58,18 +58,27 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return materialise(owned.select("bucket", "local_depth", "key", "chain", "text_sha256", "keep_id", "group_size"), "index")
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_capacity: int = BUCKET_CAPACITY, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256, bucket, chain."""
-    index = build_index(docs, id_col, text_col, bucket_capacity, max_depth)
-    norm = one_space(F.col("text"))
-    probes = id_and_text(docs, id_col, text_col).select("doc_id", norm.alias("norm")).select("doc_id", F.xxhash64("norm").alias("key"), F.sha2("norm", 256).alias("text_sha256"))
-    found = probes.join(index, ["key", "text_sha256"])
+def _keys(docs: DataFrame, *carry: str) -> DataFrame:
+    """doc_id, key and text_sha256 of each row, and the columns of carry."""
+    rows = docs.select("doc_id", *carry, one_space(F.col("text")).alias("norm"))
+    return rows.select("doc_id", *carry, F.xxhash64("norm").alias("key"), F.sha2("norm", 256).alias("text_sha256"))
+
+
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_capacity: int = BUCKET_CAPACITY, max_depth: int = MAX_DEPTH, index: DataFrame | None = None) -> DataFrame:
+    """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256, bucket, chain. index: of build_index, if there is one."""
+    index = build_index(docs, id_col, text_col, bucket_capacity, max_depth) if index is None else index
+    found = _keys(id_and_text(docs, id_col, text_col)).join(index, ["key", "text_sha256"])
     # repeated rows of one document: the window's groups are its repeats alone
     repeat = F.row_number().over(Window.partitionBy("doc_id", "text_sha256").orderBy("keep_id"))
     return found.select("doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (repeat == 1)).alias("kept"), "text_sha256", "bucket", "chain")
 
 
 def keep_first_copies(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, with all their columns."""
-    dropped = exact_dedup(docs).where(~F.col("doc_id").eqNullSafe(F.col("keep_id")) & F.col("doc_id").isNotNull()).select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns).dropDuplicates(["doc_id", "text"])
+    """The rows of docs that stay, with all their columns. Rows without an id are looked up by text: they stay where no copy has an id."""
+    index = build_index(docs)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    dropped = exact_dedup(docs, index=index).where(F.col("doc_id").isNotNull() & (F.col("doc_id") != F.col("keep_id"))).select("doc_id")
+    named = docs.where(F.col("doc_id").isNotNull()).join(dropped, "doc_id", "left_anti").select(columns)
+    held = id_and_text(docs.where(F.col("doc_id").isNull()).select("doc_id", "text", F.struct(*columns).alias("row")), "doc_id", "text", "row")
+    alone = _keys(held, "row").join(index.where(F.col("keep_id").isNull()), ["key", "text_sha256"], "left_semi").select("row.*")
+    return named.unionByName(alone).dropDuplicates(["doc_id", "text"])

@@ -396,4 +396,4 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def keep_one_each(docs: DataFrame) -> DataFrame:
     """The rows of docs whose id is that of their component, and those without an id, with all their columns."""
     dropped = jaccard_join(docs).where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(dropped, "doc_id", "left_anti").select([F.col(f"`{c}`") for c in docs.columns])

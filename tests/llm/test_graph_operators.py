@@ -39,6 +39,8 @@ def test_exact_dedup(spark, odd_docs, empty_docs):
     got = dedup.exact_dedup(odd_docs).collect()
     assert Counter((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got) == plain_dedup(odd)
     assert sum(r.kept for r in got if r.doc_id == 2) == 1  # of repeated rows one stays
+    nulls = spark.createDataFrame([(None, "a b"), (None, "a  b"), (None, "z"), (None, "z "), (9, "a b")], "doc_id long, text string")
+    assert {(r.doc_id, r.text) for r in dedup.keep_first_copies(nulls).collect()} == {(9, "a b"), (None, "z"), (None, "z ")}
     assert dedup.exact_dedup(empty_docs).count() == 0 and dedup.keep_first_copies(odd_docs).columns == odd_docs.columns
 
 
