@@ -81,4 +81,5 @@ def keep_first_copies(docs: DataFrame) -> DataFrame:
     named = docs.where(F.col("doc_id").isNotNull()).join(dropped, "doc_id", "left_anti").select(columns)
     held = id_and_text(docs.where(F.col("doc_id").isNull()).select("doc_id", "text", F.struct(*columns).alias("row")), "doc_id", "text", "row")
     alone = _keys(held, "row").join(index.where(F.col("keep_id").isNull()), ["key", "text_sha256"], "left_semi").select("row.*")
-    return named.unionByName(alone).dropDuplicates(["doc_id", "text"])
+    # repeated rows stand together already where the anti join has dealt rows by id
+    return named.dropDuplicates(["doc_id", "text"]).unionByName(alone.dropDuplicates(["doc_id", "text"]))
