@@ -164,6 +164,32 @@ def test_lm_matches_a_plain_model(spark):
         assert r.n_tokens == len(e) - 2 and abs(r.ce_background - want[0]) < 1e-4 and abs(r.ce_target - want[1]) < 1e-4 and abs(r.ce_difference - (want[1] - want[0])) < 1e-4
 
 
+def test_lm_counts_every_word(spark):
+    rng = random.Random(13)
+    texts = [" ".join(f"word{int(rng.random() ** 3 * 4000)}" for _ in range(rng.randint(0, 90))) for _ in range(200)]
+    texts += ["common zebra", "common tiger", "common zebra"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([*((i, i % 2, 0) for i in range(60)), (200, 1, 0)], "doc_id long, quality int, toxic int")
+    names = sorted({w for t in texts for w in lm._TOKEN.findall(t)})
+    assert len(names) > 2048
+    code = {w: i + 1 for i, w in enumerate(names)}
+    events = [[0, *(code[w] for w in lm._TOKEN.findall(t)), 0] for t in texts]
+    size, pairs, single = len(names) + 1, (Counter(), Counter()), (Counter(), Counter())
+    for i, e in enumerate(events):
+        for k in (0, 1) if i == 200 or i < 60 and i % 2 else (0,):
+            pairs[k].update(zip(e, e[1:], strict=False))
+            single[k].update(e[1:])
+    total = [sum(c.values()) for c in single]
+    p = lambda k, v, w: (pairs[k][v, w] + lm.MASS * (single[k][w] + 1) / (total[k] + size)) / (single[k][v] + lm.MASS)
+    rows = {r.doc_id: r for r in lm.lm_scoring(docs, labels).collect()}
+    assert len(rows) == len(texts)
+    for i, e in enumerate(events):
+        back, near = (np.mean([-np.log2(p(k, v, w)) for v, w in zip(e, e[1:], strict=False)]) for k in (0, 1))
+        assert rows[i].n_tokens == len(e) - 2 and abs(rows[i].ce_background - back) < 1e-9 and abs(rows[i].ce_target - near) < 1e-9
+    assert rows[200].ce_difference != rows[201].ce_difference  # words of one shape
+    assert rows[200].ce_difference == rows[202].ce_difference
+
+
 def test_lm_odd_inputs(spark, odd_docs, empty_docs, no_labels):
     rows = lm.lm_scoring(odd_docs, no_labels, vocabulary=64).collect()
     assert len(rows) == 9 and all(r.ce_difference == 0 for r in rows)
