@@ -7,9 +7,8 @@ another from the whole raw corpus, both with add-one smoothing. The score of a d
 ln(p_target / p_raw); it stays if the score is at least `threshold`. No part is random, so each document always gets the
 same verdict.
 
-The raw multinomial counts every document. The target is a bounded reference set: the labelled documents of quality 1, at most
-TARGET_ROWS of them, those whose ids hash lowest. Only their ids are broadcast (160 kB at most); the text is never
-shuffled. What tasks exchange is one row for each bucket and task.
+The raw multinomial counts every document, the target every labelled document of quality 1. The labels grow with the corpus, so they are
+not broadcast: texts are dealt by id to meet them. From there tasks exchange one row for each bucket and task.
 
 Defined results: a null or empty text has no words and fails the base rules; a document with no n-grams scores 0; an empty target
 or an empty table gives score 0 throughout; repeated rows each give a row; other columns of any name are ignored.
@@ -22,7 +21,6 @@ from pyspark.sql import functions as F
 
 from .common import NOT_WHITE, WHITE, constant_array, fence, id_and_text
 
-TARGET_ROWS = 20_000
 BITS = 16
 BUCKETS = 1 << BITS
 THRESHOLD = -0.5
@@ -114,16 +112,16 @@ def _tokens(rows: DataFrame, *keep: str) -> DataFrame:
     return rows.select(*keep, fence(F.transform(tokens, lambda x: F.xxhash64(x))).alias("hashes")).withColumn("n", F.size("hashes"))
 
 
-def target_ids(labels: DataFrame, target_rows: int = TARGET_ROWS) -> DataFrame:
-    """At most target_rows ids of quality 1, those of the lowest hash."""
-    good = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"))
-    return good.groupBy("doc_id").agg(F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").limit(target_rows).select("doc_id")
+def target_ids(labels: DataFrame) -> DataFrame:
+    """The different ids of quality 1."""
+    return labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
 
 
-def ratio_model(docs: DataFrame, labels: DataFrame, target_rows: int = TARGET_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def ratio_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row with `weights`: ln(p_target / p_raw) for each bucket."""
-    trusted = target_ids(labels, target_rows).withColumn("trusted", F.lit(1))
-    rows = id_and_text(docs, id_col, text_col).join(F.broadcast(trusted), "doc_id", "left")
+    trusted = target_ids(labels).withColumn("trusted", F.lit(1))
+    # a task hashes its share of the ids, so that no text is sorted
+    rows = id_and_text(docs, id_col, text_col).join(trusted.hint("shuffle_hash"), "doc_id", "left")
     grams = _tokens(rows, "trusted").select(F.coalesce("trusted", F.lit(0)).alias("trusted"), F.explode(_buckets(F.col("hashes"), F.col("n"))).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.sum("trusted").alias("target"), F.count(F.lit(1)).alias("raw"))
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").alias("bucket")).join(counts, "bucket", "left").na.fill(0)
@@ -133,9 +131,9 @@ def ratio_model(docs: DataFrame, labels: DataFrame, target_rows: int = TARGET_RO
     return total.select(F.when(F.col("t") > 0, F.transform("all", weight)).otherwise(F.array_repeat(F.lit(0.0), BUCKETS)).alias("weights"))
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, target_rows: int = TARGET_ROWS, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per row of docs: the base statistics, base_failed, kept, score (mean log ratio), n_grams, and the columns of carry."""
-    weights = constant_array(ratio_model(docs, labels, target_rows, id_col, text_col).first()["weights"])
+    weights = constant_array(ratio_model(docs, labels, id_col, text_col).first()["weights"])
     stats = base_stats(docs, id_col, text_col, carry)
     names = [c for c in stats.columns if c != "text"]
     hashed = _tokens(stats, *names)

@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from lectern.llm import best_fit_packing as pack
 from lectern.llm import lm_scoring as lm
@@ -164,6 +165,15 @@ def test_lm_matches_a_plain_model(spark):
         assert r.n_tokens == len(e) - 2 and abs(r.ce_background - want[0]) < 1e-4 and abs(r.ce_target - want[1]) < 1e-4 and abs(r.ce_difference - (want[1] - want[0])) < 1e-4
 
 
+def test_quality_target_has_every_labelled_row(spark):
+    n = 20_500
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("alpha").alias("text"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    weights = quality.ratio_model(docs.unionByName(docs.select(F.lit(None).cast("long").alias("doc_id"), F.lit("beta").alias("text"))), labels).first()["weights"]
+    # of 2n rows the half are targets, and all of these are alike
+    assert abs(max(weights) - (np.log((n + 1) / (n + quality.BUCKETS)) - np.log((n + 1) / (2 * n + quality.BUCKETS)))) < 1e-9
+
+
 def test_lm_counts_every_word(spark):
     rng = random.Random(13)
     texts = [" ".join(f"word{int(rng.random() ** 3 * 4000)}" for _ in range(rng.randint(0, 90))) for _ in range(200)]
