@@ -74,12 +74,16 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_first_copies(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, with all their columns. Rows without an id are looked up by text: they stay where no copy has an id."""
+    """The rows of docs that stay, with all their columns: of each different text the row of keep_id.
+
+    Rows are judged by id and text, so of an id with several texts each text has its own verdict. Rows without an id stay where no copy
+    has an id, one for each spelling, as nothing says that they are one document.
+    """
     index = build_index(docs)
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    dropped = exact_dedup(docs, index=index).where(F.col("doc_id").isNotNull() & (F.col("doc_id") != F.col("keep_id"))).select("doc_id")
-    named = docs.where(F.col("doc_id").isNotNull()).join(dropped, "doc_id", "left_anti").select(columns)
-    held = id_and_text(docs.where(F.col("doc_id").isNull()).select("doc_id", "text", F.struct(*columns).alias("row")), "doc_id", "text", "row")
-    alone = _keys(held, "row").join(index.where(F.col("keep_id").isNull()), ["key", "text_sha256"], "left_semi").select("row.*")
-    # repeated rows stand together already where the anti join has dealt rows by id
-    return named.dropDuplicates(["doc_id", "text"]).unionByName(alone.dropDuplicates(["doc_id", "text"]))
+    held = id_and_text(docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")), "doc_id", "text", "row")
+    keyed = _keys(held, "row")
+    first = index.select(F.col("keep_id").alias("doc_id"), "text_sha256")
+    # repeated rows stand together already where the join has dealt rows by id and text
+    named = keyed.where(F.col("doc_id").isNotNull()).join(first, ["doc_id", "text_sha256"], "left_semi").dropDuplicates(["doc_id", "text_sha256"]).select("row.*")
+    alone = keyed.where(F.col("doc_id").isNull()).join(index.where(F.col("keep_id").isNull()), ["key", "text_sha256"], "left_semi").select("row.*")
+    return named.unionByName(alone.dropDuplicates(["doc_id", "text"]))

@@ -394,6 +394,23 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def keep_one_each(docs: DataFrame) -> DataFrame:
-    """The rows of docs whose id is that of their component, and those without an id, with all their columns."""
-    dropped = jaccard_join(docs).where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select([F.col(f"`{c}`") for c in docs.columns])
+    """The rows of docs whose id is that of their component, and those without an id, with all their columns.
+
+    Of an id that has several texts, one text keeps the id and each other one gets a number above all ids for the join, so that it is judged by itself.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    own = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    held = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.struct(*columns).alias("row"))
+    texts = held.where("doc_id IS NOT NULL").select("doc_id", own.alias("h")).groupBy("doc_id").agg(F.min("h").alias("low"), F.max("h").alias("high"))
+    several = materialise(texts.where("low <> high").select("doc_id", "low"), "several")
+    if several.isEmpty():
+        named = held.withColumn("node", F.col("doc_id"))
+    else:
+        top = held.agg(F.max("doc_id")).first()[0]
+        others = held.select("doc_id", own.alias("h")).join(several, "doc_id").where("h <> low").select("doc_id", "h").distinct()
+        others = materialise(others, "others").select("doc_id", "h", (F.lit(top + 1) + F.monotonically_increasing_id()).alias("other"))
+        others = materialise(others, "numbered")
+        named = held.withColumn("h", own).join(others, ["doc_id", "h"], "left").select("text", "row", F.coalesce("other", "doc_id").alias("node"))
+        named = materialise(named, "nodes")
+    dropped = jaccard_join(named, "node").where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("node")).distinct()
+    return named.join(dropped, "node", "left_anti").select("row.*")

@@ -44,6 +44,19 @@ def test_exact_dedup(spark, odd_docs, empty_docs):
     assert dedup.exact_dedup(empty_docs).count() == 0 and dedup.keep_first_copies(odd_docs).columns == odd_docs.columns
 
 
+def test_rows_of_one_id_are_judged_by_their_own_texts(spark):
+    rows = [(3, "A"), (5, "A"), (5, "B"), (6, "c  d"), (6, "c d"), (7, "c d")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string").repartition(3)
+    kept = [(r.doc_id, " ".join(r.text.split())) for r in dedup.keep_first_copies(docs).collect()]
+    assert sorted(kept) == [(3, "A"), (5, "B"), (6, "c d")]
+    words = lambda k: " ".join(f"{k}{i}" for i in range(40))
+    near = [(3, words("a")), (5, words("a") + " end"), (5, words("b")), (8, words("b") + " end"), (9, words("c")), (5, words("d")), (None, words("a"))]
+    docs = spark.createDataFrame(near, "doc_id int, text string").repartition(3)
+    kept = [(r.doc_id, r.text[:2]) for r in jaccard.keep_one_each(docs).collect()]
+    assert Counter(t for i, t in kept if i is not None) == Counter(["a0", "b0", "c0", "d0"])
+    assert (3, "a0") in kept and (5, "d0") in kept and (None, "a0") in kept and jaccard.keep_one_each(docs).dtypes == docs.dtypes
+
+
 def test_directory_splits_overfull_buckets(spark):
     index = dedup.build_index(spark.range(2000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text")), bucket_capacity=50).collect()
     sizes = Counter(r.bucket for r in index)
