@@ -2,29 +2,29 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import cut
 
-MOST_DEPTH = 64
-
 
-def climb(seeds: DataFrame, links: DataFrame, nodes: DataFrame, most_depth: int = MOST_DEPTH) -> DataFrame:
+def climb(seeds: DataFrame, links: DataFrame, nodes: DataFrame) -> DataFrame:
     """leaf_id, node_id, content, depth: each seed (leaf_id, content) at depth 0 and every node above it, once for each way up.
 
-    One join by equality per level, for all seeds at once, each written to the shared folder; it ends when no parent is left, or at
-    most_depth, which guards against cycles. No row limit as recursive queries have.
+    One join by equality per level, for all seeds at once, each written to the shared folder; it ends when no parent is left.
+    A way up ends where it would meet a node again, so cycles end. No limit of depth, and no row limit as recursive queries have.
     """
-    level = cut(seeds.select("leaf_id", F.col("leaf_id").alias("node_id"), "content", F.lit(0).alias("depth")), "climb")
-    out = level
+    level = cut(seeds.select("leaf_id", F.col("leaf_id").alias("node_id"), "content", F.lit(0).alias("depth"), F.array("leaf_id").alias("_seen")), "climb")
+    out = level.drop("_seen")
     up = links.select(F.col("child_id").alias("node_id"), F.col("parent_id").alias("_up"))
     parents = nodes.select(F.col("id").alias("_up"), F.col("content").alias("_content"))
-    for depth in range(1, most_depth + 1):
-        level = cut(level.select("leaf_id", "node_id").join(up, "node_id").join(parents, "_up").select("leaf_id", F.col("_up").alias("node_id"), F.col("_content").alias("content"), F.lit(depth).alias("depth")), "climb")
+    for depth in count(1):
+        level = cut(level.select("leaf_id", "node_id", "_seen").join(up, "node_id").where(~F.array_contains("_seen", F.col("_up"))).join(parents, "_up").select("leaf_id", F.col("_up").alias("node_id"), F.col("_content").alias("content"), F.lit(depth).alias("depth"), F.concat("_seen", F.array("_up")).alias("_seen")), "climb")
         if level.isEmpty():
             break
-        out = out.unionByName(level)
+        out = out.unionByName(level.drop("_seen"))
     return out
 
 

@@ -119,3 +119,13 @@ def test_chunk_documents(spark):
     docs = spark.createDataFrame(rows, "source string, lines array<string>, tables map<string,string>")
     found = tree.chunk_documents(docs).collect()
     assert [(r.source, r.breadcrumb, r.content) for r in found] == [("b", "b", "1. One\ntext\n1.1 Two\nmore")]
+
+
+def test_climb_reaches_the_root_of_a_deep_tree_and_ends_in_cycles(spark):
+    from lectern.operators import ancestors
+
+    nodes = spark.createDataFrame([(f"n{i}", f"t{i}") for i in range(68)] + [("x", "x"), ("y", "y")], "id string, content string")
+    links = spark.createDataFrame([(f"n{i}", f"n{i + 1}", 0) for i in range(67)] + [("x", "y", 0), ("y", "x", 0)], "parent_id string, child_id string, order_index int")
+    seeds = nodes.where("id IN ('n67', 'y')").select(nodes["id"].alias("leaf_id"), "content")
+    found = {(r.leaf_id, r.depth, r.node_id) for r in ancestors.climb(seeds, links, nodes).collect()}
+    assert found == {("n67", 67 - i, f"n{i}") for i in range(68)} | {("y", 0, "y"), ("y", 1, "x")}
