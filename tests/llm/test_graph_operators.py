@@ -41,6 +41,9 @@ def test_exact_dedup(spark, odd_docs, empty_docs):
     assert sum(r.kept for r in got if r.doc_id == 2) == 1  # of repeated rows one stays
     nulls = spark.createDataFrame([(None, "a b"), (None, "a  b"), (None, "z"), (None, "z "), (9, "a b")], "doc_id long, text string")
     assert {(r.doc_id, r.text) for r in dedup.keep_first_copies(nulls).collect()} == {(9, "a b"), (None, "z"), (None, "z ")}
+    assert [(r.doc_id, r.kept) for r in dedup.exact_dedup(nulls).where("kept").orderBy(F.col("keep_id").asc_nulls_first()).collect()] == [(None, True), (None, True), (9, True)]
+    respelt = spark.createDataFrame([(None, "a b"), (None, "a  b")], "doc_id long, text string")
+    assert [r.text for r in dedup.keep_first_copies(respelt).collect()] == ["a  b"]  # of equal texts one row stays, as the index says
     assert dedup.exact_dedup(empty_docs).count() == 0 and dedup.keep_first_copies(odd_docs).columns == odd_docs.columns
 
 
@@ -58,13 +61,58 @@ def test_rows_of_one_id_are_judged_by_their_own_texts(spark):
 
 
 def test_directory_splits_overfull_buckets(spark):
-    index = dedup.build_index(spark.range(2000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text")), bucket_capacity=50).collect()
-    sizes = Counter(r.bucket for r in index)
-    assert len(index) == 2000 and max(sizes.values()) <= 50 and len(sizes) >= 40
-    depth = {r.bucket: r.local_depth for r in index}
+    index = dedup.build_index(spark.range(2000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text")), bucket_capacity=50)
+    rows = index.entries.collect()
+    sizes = Counter(r.bucket for r in rows)
+    assert len(rows) == 2000 and max(sizes.values()) <= 50 and len(sizes) >= 40
+    unsigned = lambda x: x % (1 << 64)
+    depth = {unsigned(r.bucket): r.local_depth for r in rows}
     starts = sorted(depth)
-    assert all(b % (1 << (16 - depth[b])) == 0 for b in starts)
-    assert all(a + (1 << (16 - depth[a])) <= b for a, b in zip(starts, starts[1:], strict=False))  # buckets do not overlap
+    assert all(unsigned(r.key) >> (64 - r.local_depth) == unsigned(r.bucket) >> (64 - r.local_depth) for r in rows)
+    assert all(a + (1 << (64 - depth[a])) <= b for a, b in zip(starts, starts[1:], strict=False))  # buckets do not overlap
+    one = dedup.build_index(spark.range(300).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text")), bucket_capacity=1)
+    assert max(Counter(r.bucket for r in one.entries.collect()).values()) == 1
+    tight = dedup.directory(spark.range(5000).select(F.xxhash64("id").alias("key")), bucket_capacity=1, most_slots=64)
+    assert tight.slots.count() <= 64  # the capacity grows in place of the directory
+
+
+def test_rows_are_found_through_the_directory_alone(spark):
+    docs = spark.createDataFrame([(i, f"text {i % 40}") for i in range(100)], "doc_id long, text string")
+    index = dedup.build_index(docs, bucket_capacity=4)
+    astray = dedup.Directory(index.directory.slots.withColumn("bucket", F.col("bucket") + 1), index.directory.depth)
+    assert dedup.exact_dedup(docs, index=index).count() == 100
+    assert dedup.exact_dedup(docs, index=dedup.Index(index.entries, astray)).count() == 0
+
+
+def test_a_second_batch_goes_into_the_index(spark):
+    rows = [(i, f"text  {i % 70}") for i in range(60, 260)]
+    more = [(i, f"text {i % 90} ") for i in range(60)] + [(None, "text 3 ")]
+    make = lambda some: spark.createDataFrame(some, "doc_id long, text string")
+    index = dedup.insert(dedup.build_index(make(rows), bucket_capacity=8), make(more), bucket_capacity=8)
+    whole = dedup.build_index(make(rows + more), bucket_capacity=8)
+    assert sorted(map(tuple, index.entries.collect())) == sorted(map(tuple, whole.entries.collect()))
+    got = dedup.exact_dedup(make(more), index=index).collect()
+    want = plain_dedup(rows + more)
+    assert len(got) == 61 and all((r.doc_id, r.keep_id, r.group_size, r.text_sha256) in want for r in got)
+
+
+def test_texts_of_one_key_are_told_apart_by_their_bytes(spark, monkeypatch):
+    monkeypatch.setattr(dedup.F, "xxhash64", lambda c: F.length(c).cast("long") * F.lit(1 << 60))
+    rows = [(i, t) for i, t in enumerate(["ab", "cd", "ab", "e", "cd", "xyz", "ab "] * 80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = dedup.exact_dedup(docs).collect()
+    assert Counter((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got) == plain_dedup(rows)
+    assert sorted({(r.text_sha256, r.chain) for r in got}, key=str) and {r.chain for r in got} == {0, 1}
+    assert sorted(r.doc_id for r in dedup.keep_first_copies(docs).collect()) == [0, 1, 3, 5, 6]
+
+
+def test_stage_keeps_the_rows_that_the_index_keeps(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice([None, *range(200)]), rng.choice(["a b", "a  b", "c", None, "", "d e f", "d e\tf"]) if rng.random() < 0.7 else f"own {i % 90}", i) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n long").repartition(4)
+    want = Counter((r.doc_id, r.text_sha256) for r in dedup.exact_dedup(docs).where("kept").collect())
+    kept = dedup.keep_first_copies(docs).select("doc_id", F.sha2(dedup.one_space(F.coalesce("text", F.lit(""))), 256)).collect()
+    assert Counter(map(tuple, kept)) == want
 
 
 # ---------------------------------------------------------------- near copies
