@@ -34,16 +34,17 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _count_of(text: Column, inverse: str) -> Column:
-    """Code points of text outside the class `inverse`."""
-    return F.length(F.regexp_replace(text, inverse, ""))
+def _windows(h: Column, n: Column) -> Column:
+    """The mixed hash of each 3-word window. h: hashes of the words, a column."""
+    some = F.greatest(n - 2, F.lit(0))
+    two = F.zip_with(F.slice(h, 1, some), F.slice(h, 2, some), lambda a, b: F.shiftleft(a, 2).bitwiseXOR(F.shiftleft(b, 1)))
+    return F.zip_with(two, F.slice(h, 3, some), lambda a, b: a.bitwiseXOR(b))
 
 
-def _sorted_windows(h: Column, n: Column) -> Column:
-    """34 bits of the mixed hash of each 3-word window, then its place in 30 bits, sorted. h: hashes of the words, a column."""
-    mixed = lambda i: F.shiftleft(F.get(h, i), 2).bitwiseXOR(F.shiftleft(F.get(h, i + 1), 1)).bitwiseXOR(F.get(h, i + 2))
-    every = F.transform(F.sequence(F.lit(0), F.greatest(n - 3, F.lit(0))), lambda i: F.shiftleft(mixed(i), 30).bitwiseOR(i.cast("long")))
-    return F.when(n >= 4, F.sort_array(every)).otherwise(F.array().cast("array<bigint>"))
+def _sorted_windows(mixed: Column) -> Column:
+    """34 bits of the mixed hash of each window, then its place in 30 bits, sorted; none where all windows differ, as most texts have it."""
+    placed = F.sort_array(F.transform(mixed, lambda x, i: F.shiftleft(x, 30).bitwiseOR(i.cast("long"))))
+    return F.when(F.size(F.array_distinct(mixed)) < F.size(mixed), placed).otherwise(F.array().cast("array<bigint>"))
 
 
 def _repeat_words(words: Column, windows: Column) -> Column:
@@ -65,13 +66,13 @@ def base_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = id_and_text(docs, id_col, text_col, *carry)
     rows = rows.withColumns(
         {
-            "words": fence(F.filter(F.split("text", WHITE), lambda w: w != "")),
+            "words": fence(F.array_remove(F.split("text", WHITE), "")),
             "lines": F.filter(F.split("text", "\n"), lambda x: x.rlike(NOT_WHITE)),
-            "word_chars": _count_of(F.col("text"), WHITE).cast("long"),
-            "n_symbols": _count_of(F.col("text"), r"[^#*$%&|<>]+").cast("long"),
+            "n_symbols": F.length(F.regexp_replace("text", r"[^#*$%&|<>]+", "")).cast("long"),
         }
-    ).withColumns({"n": F.size("words"), "word_hashes": fence(F.transform("words", lambda w: F.xxhash64(w)))})
-    rows = rows.withColumn("windows", fence(_sorted_windows(F.col("word_hashes"), F.col("n")))).drop("word_hashes")
+    ).withColumns({"n": F.size("words"), "word_chars": F.length(F.array_join("words", "")).cast("long"), "word_hashes": fence(F.transform("words", lambda w: F.xxhash64(w)))})
+    rows = rows.withColumn("mixed", fence(_windows(F.col("word_hashes"), F.col("n")))).drop("word_hashes")
+    rows = rows.withColumn("windows", fence(_sorted_windows(F.col("mixed")))).drop("mixed")
     stats = rows.select(
         "doc_id",
         "text",
@@ -85,26 +86,31 @@ def base_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return stats.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
-def _single(h: Column) -> Column:
-    """Bucket of a unigram: the leading bits of its hash."""
+def _bucket(h: Column) -> Column:
+    """The leading bits of a hash."""
     return F.shiftrightunsigned(h, 64 - BITS)
 
 
-def _double(h: Column, i: Column) -> Column:
-    """Bucket of the bigram at i."""
-    return F.shiftrightunsigned(F.shiftleft(F.get(h, i), 1).bitwiseXOR(F.get(h, i + 1)), 64 - BITS)
+def _pair(a: Column, b: Column) -> Column:
+    """The hash of a bigram, from those of its tokens."""
+    return F.shiftleft(a, 1).bitwiseXOR(b)
 
 
-def _buckets(hashes: Column, n: Column) -> Column:
-    """Buckets of the uni- and bigrams."""
-    return F.when(n < 2, F.transform(hashes, _single)).otherwise(F.concat(F.transform(hashes, _single), F.transform(F.sequence(F.lit(0), n - 2), lambda i: _double(hashes, i))))
+def _grams(rows: DataFrame, *keep: str) -> DataFrame:
+    """A row with `bucket` for each uni- and bigram, from rows with `hashes`. Rows in place of arrays, as Spark compiles what makes rows."""
+    each = rows.select(*keep, "hashes", F.posexplode("hashes").alias("i", "h"))
+    both = each.select(*keep, F.explode(F.array("h", _pair(F.col("h"), F.get("hashes", F.col("i") + 1)))).alias("h"))
+    return both.where(F.col("h").isNotNull()).select(*keep, _bucket(F.col("h")).alias("bucket"))
 
 
 def _mean_weight(h: Column, n: Column, weights: Column) -> Column:
-    """Mean of the weights of all uni- and bigrams; 0 without any. h is a column, so its elements are read in place."""
-    one = F.aggregate(h, F.lit(0.0), lambda a, x: a + F.get(weights, _single(x)))
-    two = F.aggregate(F.sequence(F.lit(0), n - 2), F.lit(0.0), lambda a, i: a + F.get(weights, _double(h, i)))
-    return F.when(n < 1, F.lit(0.0)).when(n < 2, one).otherwise((one + two) / (2 * n - 1))
+    """Mean of the weights of all uni- and bigrams; 0 without any."""
+    weight = lambda x: F.get(weights, _bucket(x))
+    some = F.greatest(n - 1, F.lit(0))
+    # a token with the bigram that it begins; the last token begins none
+    sums = F.zip_with(F.slice(h, 1, some), F.slice(h, 2, some), lambda a, b: weight(a) + weight(_pair(a, b)))
+    total = F.aggregate(sums, F.lit(0.0), lambda a, x: a + x) + weight(F.element_at(h, -1))
+    return F.when(n < 1, F.lit(0.0)).otherwise(total / (2 * n - 1))
 
 
 def _tokens(rows: DataFrame, *keep: str) -> DataFrame:
@@ -122,8 +128,7 @@ def ratio_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     trusted = target_ids(labels).withColumn("trusted", F.lit(1))
     # a task hashes its share of the ids, so that no text is sorted
     rows = id_and_text(docs, id_col, text_col).join(trusted.hint("shuffle_hash"), "doc_id", "left")
-    grams = _tokens(rows, "trusted").select(F.coalesce("trusted", F.lit(0)).alias("trusted"), F.explode(_buckets(F.col("hashes"), F.col("n"))).alias("bucket"))
-    counts = grams.groupBy("bucket").agg(F.sum("trusted").alias("target"), F.count(F.lit(1)).alias("raw"))
+    counts = _grams(_tokens(rows, "trusted"), "trusted").groupBy("bucket").agg(F.coalesce(F.sum("trusted"), F.lit(0)).alias("target"), F.count(F.lit(1)).alias("raw"))
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").alias("bucket")).join(counts, "bucket", "left").na.fill(0)
     # a fixed number of rows, BUCKETS, meets here
     total = every.agg(F.array_sort(F.collect_list(F.struct("bucket", "target", "raw"))).alias("all"), F.sum("target").alias("t"), F.sum("raw").alias("r"))
