@@ -279,19 +279,69 @@ def test_packing_round_trip(spark, odd_docs, empty_docs):
 # ---------------------------------------------------------------- toxicity
 
 
+def plain_grams(text):
+    codes = [32 if c in range(9, 14) else c for c in map(ord, f" {text.lower()} ")]
+    out = set()
+    for n in tox.ORDERS:
+        for k in range(len(codes) - n + 1):
+            h = 0
+            for c in codes[k : k + n]:
+                h = (h * 0x100000001B3 + c + 1) % 2**64
+            out.add(((h + n) * 0x9E3779B97F4A7C15 % 2**64) >> (64 - tox.BITS))
+    return out
+
+
 def test_present_matches_a_scan():
-    texts = ["Abc dEf\n", "", "abc def ghi", "é" * 9]
-    want = set()
-    for i, t in enumerate(texts):
-        raw = b" " + re.sub(rb"[\t\n\v\f\r]", b" ", t.lower().encode()) + b" "
-        for n in tox.ORDERS:
-            for k in range(len(raw) - n + 1):
-                h = 0
-                for c in raw[k : k + n]:
-                    h = (h * 0x100000001B3 + c + 1) % 2**64
-                want.add((i, ((h + n) * 0x9E3779B97F4A7C15 % 2**64) >> (64 - tox.BITS)))
+    texts = ["Abc dEf\n", "", "abc def ghi", "é" * 9, "日本語 😀 テスト"]
     who, bucket = tox.present(texts)
-    assert set(zip(who.tolist(), bucket.tolist(), strict=True)) == want
+    assert set(zip(who.tolist(), bucket.tolist(), strict=True)) == {(i, h) for i, t in enumerate(texts) for h in plain_grams(t)}
+
+
+def plain_toxicity(texts, labels):
+    """(features, weights, bias): counts in sets, ratios one by one, and the regression by plain descent on dense rows until it rests."""
+    sets, size = [plain_grams(t) for t in texts], Counter(labels)
+    ratio = {}
+    for g in set().union(*sets):
+        toxic, clean = (sum(g in s for s, y in zip(sets, labels, strict=True) if y == label) for label in (1, 0))
+        r = np.log((toxic + 1) / (size[1] + 2)) - np.log((clean + 1) / (size[0] + 2))
+        if toxic + clean >= 3 and abs(r) / np.sqrt(1 / (toxic + 1) + 1 / (clean + 1)) > tox.MIN_STRENGTH:
+            ratio[g] = r
+    names = sorted(ratio)
+    x = np.array([[ratio[g] if g in s else 0.0 for g in names] + [1.0] for s in sets])
+    y, w = np.array(labels, float), np.zeros(len(names) + 1)
+    w[-1] = np.log((y.sum() + 1) / (len(y) - y.sum() + 1))
+    penalty = np.append(np.full(len(names), tox.DECAY), 0)
+    rate = 1 / (np.linalg.norm(x, 2) ** 2 / 4 + tox.DECAY)
+    now, speed = w.copy(), 0
+    for k in range(60_000):
+        ahead = now + (k / (k + 3)) * speed
+        new = ahead - rate * (x.T @ (1 / (1 + np.exp(-x @ ahead)) - y) + penalty * ahead)
+        now, speed = new, new - now
+    return dict(zip(names, now[:-1] * [ratio[g] for g in names], strict=True)), now[-1]
+
+
+def toxic_corpus(rng, n):
+    plain = ["river", "stone", "garden", "window", "bread", "music", "letter"]
+    for i in range(n):
+        words = [rng.choice(plain) for _ in range(rng.randint(3, 9))]
+        if i % 4 == 0:
+            words.insert(rng.randrange(len(words)), rng.choice(["vile", "grim"]))
+        yield i, " ".join(words), int(i % 4 == 0) if rng.random() < 0.9 else 1 - int(i % 4 == 0)
+
+
+def test_model_matches_a_plain_one(spark):
+    rows = list(toxic_corpus(random.Random(9), 120))
+    weights, bias = plain_toxicity([t for _, t, _ in rows], [y for *_, y in rows])
+    model = tox.fit([t for _, t, _ in rows], [y for *_, y in rows])
+    assert set(np.flatnonzero(model.weights)) <= set(weights) and len(weights) > 5
+    assert abs(model.bias - bias) < 0.02 and all(abs(model.weights[g] - w) < 0.02 for g, w in weights.items())
+    # the tables give the model of the texts, whatever tasks count them
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string").repartition(5)
+    marks = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    learnt = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 != 1]
+    want = tox.fit([t for _, t, _ in learnt], [y for *_, y in learnt])
+    got = tox.train(docs, marks)
+    assert np.allclose(got.weights, want.weights, atol=1e-4) and abs(got.bias - want.bias) < 1e-4
 
 
 def test_toxicity_is_learnt(spark, odd_docs, empty_docs, no_labels):
