@@ -5,15 +5,16 @@ shows a symbol: the kind of its speaker marker ("User:", "Assistant:", "System:"
 length. Initial, transition and emission probabilities are counted, with add-one smoothing, from transcripts whose roles are known
 (`fit`; the counts are sums of a fixed number of cells). Viterbi then recovers the states.
 
-A transcript may be of any length: it is cut into blocks of line numbers, and a block's best paths between any two states are one matrix
+A transcript may be of any length, and one may hold most lines: all lines are numbered densely (`number_lines`, by ranges, so that no
+conversation meets in one task) and cut into blocks of BLOCK_LINES numbers, and a block's best paths between any two states are one matrix
 (maximum in place of sum, sum in place of product). First tasks make the matrices of their blocks, then one small pass over each
 transcript's matrices fixes the states at the block bounds, then each block is decoded between them; the result is the Viterbi path of
-the whole. Turns that cross a bound carry the number of their first line over.
+the whole. Turns that cross a bound carry the number of their first line over, and so does the state before a block when states are counted.
 
 A rendered turn is "<|role|>", its text without the marker, and "<|end|>", each on a line of its own.
 
 Defined results: a null line counts as empty; rows of a null conv_id are one transcript; rows of a null line_no are left out; of rows with one line_no the
-smaller text comes first; an empty table gives no rows; other columns are ignored.
+smaller text comes first, and repeated rows are lines of their own; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.ordering import with_position
 from .common import materialise
 
 ROLES = ("system", "user", "assistant")
@@ -94,17 +96,33 @@ class Hmm:
         return out[::-1]
 
 
-def fit(lines: DataFrame) -> Hmm:
-    """From lines with a column `state` (conv_id, line_no, line, state): counts of a fixed number of cells come to the driver."""
+def number_lines(lines: DataFrame) -> DataFrame:
+    """conv_id, line_no, line, symbol, pos (dense, over all transcripts in the order of their ids), and state if lines have it."""
+    more = ["state"] if "state" in lines.columns else []
+    rows = lines.where(F.col("line_no").isNotNull()).select(F.col("conv_id").cast("long").alias("conv_id"), F.col("line_no").cast("long").alias("line_no"), F.coalesce("line", F.lit("")).alias("line"), *more)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([symbol(x) for x in batch.column(1).to_pylist()], pa.int32()), batch.column(2)], ["state", "symbol", "before"])
+            yield batch.append_column("symbol", pa.array([symbol(x) for x in batch.column(2).to_pylist()], pa.int32()))
+
+    schema = ", ".join(f"{c} {kind}" for c, kind in rows.dtypes) + ", symbol int"
+    return with_position(rows.mapInArrow(run, schema), [F.col("conv_id"), F.col("line_no"), F.col("line"), *map(F.col, more)], "pos")
+
+
+def _numbered(lines: DataFrame) -> DataFrame:
+    return lines if "pos" in lines.columns else number_lines(lines)
 
-    # the lines of a transcript are sorted by Spark, which spills; none is held whole
-    before = F.lag("state").over(Window.partitionBy("conv_id").orderBy("line_no", "line"))
-    known = lines.where(F.col("state").isNotNull()).select("state", F.coalesce("line", F.lit("")).alias("line"), before.alias("before"))
-    seen = known.mapInArrow(run, "state int, symbol int, before int").groupBy("state", "symbol", "before").count().collect()
+
+def fit(lines: DataFrame, block_lines: int = BLOCK_LINES) -> Hmm:
+    """From lines with a column `state` (conv_id, line_no, line, state): counts of a fixed number of cells come to the driver."""
+    rows = _numbered(lines.where(F.col("state").isNotNull())).where(F.col("state").isNotNull()).select("conv_id", "pos", "state", "symbol", F.floor(F.col("pos") / F.lit(block_lines)).alias("block"))
+    # the line before stands in the same block but for a block's first line: then it is the last of a block before, one row for each
+    last = rows.groupBy("block").agg(F.max_by(F.struct("conv_id", "state"), "pos").alias("end"))
+    carried = last.select(F.col("block").alias("b"), F.lag("end").over(Window.orderBy("block")).alias("carried"))
+    within = F.lag(F.struct("conv_id", "state")).over(Window.partitionBy("block").orderBy("pos"))
+    known = rows.withColumn("within", within).join(carried, F.col("block") == F.col("b")).withColumn("prior", F.coalesce("within", "carried"))
+    before = F.when(F.col("prior").isNotNull() & F.col("conv_id").eqNullSafe(F.col("prior.conv_id")), F.col("prior.state"))
+    seen = known.select("state", "symbol", before.alias("before")).groupBy("state", "symbol", "before").count().collect()
     initial, step, emission = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((STATES, SYMBOLS))
     for row in seen:
         emission[row["state"], row["symbol"]] += row["count"]
@@ -145,14 +163,14 @@ def _in_runs(rows: Iterator[tuple], names: list[str], kinds: list[pa.DataType],
 
 
 def recover_states(lines: DataFrame, model: Hmm, block_lines: int = BLOCK_LINES) -> DataFrame:
-    """conv_id, line_no, line, state, block: the Viterbi path of each transcript."""
-    rows = lines.where(F.col("line_no").isNotNull()).select(F.col("conv_id").cast("long").alias("conv_id"), F.floor(F.col("line_no").cast("long") / F.lit(block_lines)).cast("long").alias("block"), F.col("line_no").cast("long").alias("line_no"), F.coalesce("line", F.lit("")).alias("line"))
+    """conv_id, line_no, line, pos, state, block: the Viterbi path of each transcript."""
+    rows = _numbered(lines).select("conv_id", F.floor(F.col("pos") / F.lit(block_lines)).alias("block"), "pos", "symbol", "line_no", "line")
     i64, f64 = pa.int64(), pa.list_(pa.float64())
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def each() -> Iterator[tuple]:
             for (conv_id, block), own in _groups(batches, 2):
-                found = [symbol(x[1]) for x in own]
+                found = [x[1] for x in own]
                 yield conv_id, block, model.first(found).tolist(), model.matrix(found).ravel().tolist()
 
         yield from _in_runs(each(), ["conv_id", "block", "first", "matrix"], [i64, i64, f64, f64], 512)
@@ -176,45 +194,55 @@ def recover_states(lines: DataFrame, model: Hmm, block_lines: int = BLOCK_LINES)
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def each() -> Iterator[tuple]:
             for (conv_id, block), own in _groups(batches, 2):
-                states = model.path([symbol(x[1]) for x in own], own[0][2], own[0][3])
+                states = model.path([x[1] for x in own], own[0][4], own[0][5])
                 for x, state in zip(own, states, strict=True):
-                    yield conv_id, block, x[0], x[1], state
+                    yield conv_id, block, x[0], x[2], x[3], state
 
-        yield from _in_runs(each(), ["conv_id", "block", "line_no", "line", "state"], [i64, i64, i64, pa.string(), pa.int32()])
+        yield from _in_runs(each(), ["conv_id", "block", "pos", "line_no", "line", "state"], [i64, i64, i64, i64, pa.string(), pa.int32()])
 
-    dealt = rows.repartition("conv_id", "block")
-    summed = dealt.sortWithinPartitions("conv_id", "block", "line_no", "line").mapInArrow(matrices, "conv_id long, block long, first array<double>, matrix array<double>")
+    # a block of one transcript has block_lines rows at most, and the matrices need none of their texts
+    short = rows.select("conv_id", "block", "pos", "symbol").repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", "pos")
+    summed = short.mapInArrow(matrices, "conv_id long, block long, first array<double>, matrix array<double>")
     fixed = summed.repartition("conv_id").sortWithinPartitions("conv_id", "block").mapInArrow(bounds, "conv_id long, block long, before int, last int")
     fixed = fixed.withColumnsRenamed({"conv_id": "c", "block": "b"})
-    joined = dealt.join(fixed, dealt["conv_id"].eqNullSafe(fixed["c"]) & (dealt["block"] == fixed["b"])).select("conv_id", "block", "line_no", "line", "before", "last")
-    return joined.repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", "line_no", "line").mapInArrow(decode, "conv_id long, block long, line_no long, line string, state int")
+    joined = rows.join(fixed, rows["conv_id"].eqNullSafe(fixed["c"]) & (rows["block"] == fixed["b"])).select("conv_id", "block", "pos", "symbol", "line_no", "line", "before", "last")
+    return joined.repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", "pos").mapInArrow(decode, "conv_id long, block long, pos long, line_no long, line string, state int")
+
+
+def role_accuracy(lines: DataFrame, model: Hmm) -> DataFrame:
+    """conv_id, n_lines, n_right: of the lines of known state, how many get their role back."""
+    rows = number_lines(lines)
+    found = recover_states(rows, model).select("pos", F.col("state").alias("found"))
+    right = F.sum((F.floor(F.col("state") / 2) == F.floor(F.col("found") / 2)).cast("long"))
+    return rows.where(F.col("state").isNotNull()).join(found, "pos").groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_lines"), right.alias("n_right"))
 
 
 def turns(lines: DataFrame, model: Hmm, block_lines: int = BLOCK_LINES) -> DataFrame:
     """One row per recovered turn: conv_id, first_line, n_lines, role, rendered."""
     decoded = materialise(recover_states(lines, model, block_lines), "states")
-    starts = F.when(F.col("state") % 2 == 0, F.col("line_no"))
+    starts = F.when(F.col("state") % 2 == 0, F.struct("pos", "line_no"))
     last = decoded.groupBy("conv_id", "block").agg(F.max(starts).alias("last_start"))
     # one row per block: what a block that goes on with a turn carries over
     earlier = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     carried = last.select(F.col("conv_id").alias("c"), F.col("block").alias("b"), F.last("last_start", ignorenulls=True).over(earlier).alias("carried"))
-    within = Window.partitionBy("conv_id", "block").orderBy("line_no", "line").rowsBetween(Window.unboundedPreceding, 0)
+    within = Window.partitionBy("conv_id", "block").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     marked = decoded.withColumn("own_start", F.last(starts, ignorenulls=True).over(within))
     marked = marked.join(carried, marked["conv_id"].eqNullSafe(carried["c"]) & (marked["block"] == carried["b"]))
-    marked = marked.withColumn("first_line", F.coalesce("own_start", "carried"))
+    marked = marked.withColumn("first", F.coalesce("own_start", "carried"))
     text = F.when(F.col("state") % 2 == 0, F.regexp_replace("line", MARKER, "")).otherwise(F.col("line"))
-    gathered = marked.select("conv_id", "first_line", F.struct("line_no", text.alias("text")).alias("x"), F.floor(F.col("state") / 2).cast("int").alias("r"))
+    gathered = marked.select("conv_id", "first", F.struct("pos", text.alias("text")).alias("x"), F.floor(F.col("state") / 2).cast("int").alias("r"))
     # the lines of one turn only
-    out = gathered.groupBy("conv_id", "first_line").agg(F.max("r").alias("r"), F.count(F.lit(1)).alias("n_lines"), F.array_sort(F.collect_list("x")).alias("xs"))
+    out = gathered.groupBy("conv_id", "first").agg(F.max("r").alias("r"), F.count(F.lit(1)).alias("n_lines"), F.array_sort(F.collect_list("x")).alias("xs"))
     role = F.element_at(F.array(*map(F.lit, ROLES)), F.col("r") + 1)
     body = F.array_join(F.transform("xs", lambda x: x["text"]), "\n")
-    return out.select("conv_id", "first_line", "n_lines", role.alias("role"), F.concat(F.lit("<|"), role, F.lit("|>\n"), body, F.lit("\n<|end|>\n")).alias("rendered"))
+    return out.select("conv_id", F.col("first.line_no").alias("first_line"), "n_lines", role.alias("role"), F.concat(F.lit("<|"), role, F.lit("|>\n"), body, F.lit("\n<|end|>\n")).alias("rendered"))
 
 
 def transcripts(conversations: DataFrame) -> DataFrame:
     """Conversations as transcripts with the states they have: conv_id, line_no, line, state, in one of four manners of marking.
 
-    By conv_id: "User:" and so on; "Human:" and "AI:"; "Q:" and "A:"; or markers on two turns of three only. Line number = turn * 2^20 + line.
+    By conv_id: "User:" and so on; "Human:" and "AI:"; "Q:" and "A:"; or markers on two turns of three only. Line number = turn * 2^32 + line.
+    A null role has no marker and no state.
     """
     role = F.col("role")
     manner, bare = F.pmod(F.coalesce("conv_id", F.lit(0)), F.lit(4)), F.pmod(F.coalesce("conv_id", F.lit(0)) + F.col("turn"), F.lit(3)) == 0
@@ -227,4 +255,4 @@ def transcripts(conversations: DataFrame) -> DataFrame:
     known = F.lit(None).cast("int")
     for r, name in enumerate(ROLES):
         known = F.when(F.col("role") == name, F.lit(2 * r) + F.when(F.col("i") == 0, 0).otherwise(1)).otherwise(known)
-    return split.select("conv_id", (F.col("turn") * (1 << 20) + F.col("i")).alias("line_no"), F.when(F.col("i") == 0, F.concat("mark", "own")).otherwise(F.col("own")).alias("line"), known.alias("state"))
+    return split.select("conv_id", (F.col("turn").cast("long") * (1 << 32) + F.col("i")).alias("line_no"), F.when(F.col("i") == 0, F.concat("mark", "own")).otherwise(F.col("own")).alias("line"), known.alias("state"))

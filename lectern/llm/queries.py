@@ -56,9 +56,9 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations become transcripts, the model learns from two thirds of them, and the turns of all are recovered."""
-    lines = chat_format.transcripts(table(spark, sf_dir, "conversations"))
+    lines = chat_format.number_lines(chat_format.transcripts(table(spark, sf_dir, "conversations")))
     model = chat_format.fit(lines.where(F.crc32(F.col("conv_id").cast("string").cast("binary")) % 3 != 1))
-    return chat_format.turns(lines, model, block_lines=1 << 30)
+    return chat_format.turns(lines, model)
 
 
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -271,6 +271,30 @@ def test_rendering(spark):
     assert chat.symbol("### User: a") != chat.symbol("Bob: a") != chat.symbol("plain a")
 
 
+def test_odd_transcripts(spark):
+    long = [(7, i, ("User: " if i % 40 == 0 else "Assistant: " if i % 40 == 20 else "") + f"line {i}", 2 if i % 40 == 0 else 4 if i % 40 == 20 else 3 if i % 40 < 20 else 5) for i in range(9000)]
+    rows = [*long, (8, 0, "User: one", 2), (8, 0, "User: one", 2), (8, 1, "Assistant: " + "x" * 1_000_000, 4), (9, 1 << 40, "User: far", 2)]
+    lines = spark.createDataFrame([(*r, "c", 1, "r") for r in rows], "conv_id long, line_no long, line string, state int, block string, pos_ long, symbol_ string").repartition(6)
+    model = chat.fit(lines, 100)
+    whole, cut = (sorted((r.conv_id, r.first_line, r.n_lines, r.rendered) for r in chat.turns(lines, model, n).collect()) for n in (1 << 30, 64))
+    assert whole == cut and sum(k[0] == 7 for k in whole) == 450 and sum(k[2] for k in whole) == len(rows)
+    same = chat.fit(lines, 1 << 30)
+    assert np.array_equal(same.step, model.step) and np.array_equal(same.emission, model.emission) and np.array_equal(same.initial, model.initial)
+    right = {r.conv_id: (r.n_lines, r.n_right) for r in chat.role_accuracy(lines, model).collect()}
+    assert right == {7: (9000, 9000), 8: (3, 3), 9: (1, 1)}
+
+
+def test_transcripts_have_the_states_of_their_turns(spark):
+    schema = "conv_id long, turn long, role string, text string, line string"
+    rows = [(4, 0, "system", "be kind", "x"), (4, 1, "user", "hi\nthere", None), (4, 2, "assistant", None, "x"), (5, 1, "user", "q", "x"), (5, 2, "other", "z", "x"), (6, None, "user", "lost", "x"), (None, 1, "user", "n", "x"), (7, 1, "user", "plain?", "x"), (7, 2, "assistant", "bare", "x")]
+    got = {(r.conv_id, r.line_no >> 32, r.line_no & 0xFFFFFFFF): (r.line, r.state) for r in chat.transcripts(spark.createDataFrame(rows, schema)).collect()}
+    assert got == {
+        (4, 0, 0): ("System: be kind", 0), (4, 1, 0): ("User: hi", 2), (4, 1, 1): ("there", 3), (4, 2, 0): ("Assistant: ", 4), (5, 1, 0): ("Human: q", 2),
+        (5, 2, 0): ("z", None), (None, 1, 0): ("User: n", 2), (7, 1, 0): ("### User: plain?", 2), (7, 2, 0): ("bare", 4),
+    }
+    assert chat.transcripts(spark.createDataFrame([], schema)).count() == 0
+
+
 # ---------------------------------------------------------------- URLs
 
 
