@@ -6,9 +6,10 @@ that holds it. Open bins are keyed by free space in a bitset (one integer of cap
 none fits, a bin is opened; if `open_bins` are open already, the fullest of them closes first.
 
 Tasks pack on their own, so memory is bounded by the window and the open bins, and the result has no order to keep. Bins that are still
-open and less than `full` filled when a task ends are taken apart, and their pieces go through the same packer once more, in groups of
-tasks: `gather` tasks share one second packer, and so the number of half-empty sequences falls by that factor. Only rows of a few numbers
-are exchanged, never tokens.
+open and less than `full` filled when a task ends are taken apart, and their pieces go through a packer of as many open bins once more, in
+groups of tasks: `gather` tasks share one second packer, and so the number of half-empty sequences falls by that factor. Spark sorts the
+pieces of a group, the longest first, so the second packer holds its open bins only. Rows of a few numbers are written and exchanged,
+never tokens.
 
 Defined results: a null or empty text is its end id alone; a null id stays null; repeated rows are packed each; an empty table gives no
 rows; other columns are ignored.
@@ -24,13 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, in_slices, public_vocabulary
+from .common import id_and_text, in_slices, materialise, public_vocabulary
 
 CAPACITY = 1024
 OPEN_BINS = 1024
 WINDOW = 4096
 FULL = 0.97
-GATHER = 16
+GATHER = 8
 END_ID = 2
 SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 _NAMES = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
@@ -178,25 +179,30 @@ def best_fit_packing(docs: DataFrame, capacity: int = CAPACITY, open_bins: int =
         yield out.batch()
 
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Passes closed sequences on and packs the pieces of the open ones of each group, the longest first; their new numbers are negative."""
-        groups: dict[int, list[list]] = {}
+        """Packs the pieces of each group, which come the longest first; the numbers of their sequences are negative."""
+        group, packer, made, out = -1, BestFit(capacity, open_bins), 0, _Out()
+
+        def close(bin_: list) -> None:
+            nonlocal made
+            for item, offset in bin_:
+                out.add(*item, -1 - (group << 32) - made, offset)
+            made += 1
+
+        def end() -> None:
+            for bin_ in packer.rest():
+                close(bin_)
+
         for batch in batches:
-            shut = np.asarray(batch.column(7)) < 0
-            yield batch.filter(pa.array(shut)).select(_NAMES)
-            for *row, group in zip(*(c.to_pylist() for c in batch.filter(pa.array(~shut)).columns), strict=True):
-                groups.setdefault(group, []).append(row[:5])
-        out = _Out()
-        for group, rows in sorted(groups.items()):
-            packer, done = BestFit(capacity, len(rows)), []
-            for row in sorted(rows, key=lambda r: (-r[3], r[0] is None, r[0], r[1])):
-                done += _bins(packer.add(row, row[3]))
-            done += packer.rest()
-            for k, bin_ in enumerate(done):
-                for row, offset in bin_:
-                    out.add(*row, -1 - (group << 32) - k, offset)
+            for *item, of in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if of != group:
+                    end()
+                    group, packer, made = of, BestFit(capacity, open_bins), 0
+                for bin_ in _bins(packer.add(item, item[3])):
+                    close(bin_)
             yield out.batch()
+        end()
+        yield out.batch()
 
-    packed = id_and_text(docs, id_col, text_col).mapInArrow(first, f"{SCHEMA}, open long")
-    # closed sequences spread by their number, open ones meet in their group
-    key = F.when(F.col("open") < 0, F.col("sequence_id")).otherwise(-1 - F.col("open"))
-    return packed.repartition(key).mapInArrow(second, SCHEMA)
+    packed = materialise(id_and_text(docs, id_col, text_col).mapInArrow(first, f"{SCHEMA}, open long"), "packed")
+    loose = packed.where("open >= 0").select(*_NAMES[:5], "open").repartition("open").sortWithinPartitions("open", F.desc("length"), "doc_id", "piece")
+    return packed.where("open < 0").select(_NAMES).unionByName(loose.mapInArrow(second, SCHEMA))

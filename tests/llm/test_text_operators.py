@@ -276,6 +276,18 @@ def test_packing_round_trip(spark, odd_docs, empty_docs):
     assert pack.best_fit_packing(odd_docs).where("piece = 0").count() == 9
 
 
+def test_both_encoders_give_the_ids_of_the_library():
+    from tokenizers import Tokenizer
+
+    library, encoder = Tokenizer.from_file(public_vocabulary("byte_bpe_50k.json")), pack.ByteEncoder()
+    rng = random.Random(12)
+    latin = "".join(map(chr, [9, 10, 13, *range(32, 127), *range(0xA1, 0xAD), *range(0xAE, 0x180)]))
+    for n in range(400):
+        alphabet = latin if n % 4 else latin + "日本語😀\u00ad\x00αβ"
+        text = "".join(rng.choice(rng.choice((alphabet, "  the and of", "aaaa\n\n", "it's we'll 1234"))) for _ in range(rng.randint(0, 300)))
+        assert encoder.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
 # ---------------------------------------------------------------- toxicity
 
 
