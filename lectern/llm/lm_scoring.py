@@ -4,7 +4,8 @@ Both are bigram models over all words of the corpus and one event for the bounds
 document, the target model every labelled document of quality 1; neither is a sample, and no word or bigram is left out. Both are
 smoothed alike: P(w | v) = (c(v, w) + m * P(w)) / (c(v) + m), with P(w) = (c(w) + 1) / (N + V), V the number of different events. A
 document's score is the mean over its events of the loss in bits under the target model less that under the background model; lower
-means nearer to the target.
+means nearer to the target. No document is scored by its own counts: they are taken off the models that counted it, so that targets
+have no advantage over other documents.
 
 Documents are encoded once, in chunks of about 260,000 tokens, in the shared folder. Words and bigrams have keys of 64 bits. A
 chunk's different keys go with their counts to the owners of key ranges; an owner sums up what all chunks count and sends each chunk
@@ -181,12 +182,28 @@ class _Chunk:
         both = np.concatenate([np.bincount(self.place[held], minlength=self.pairs), np.bincount(self.second[held], minlength=len(self.single))])
         return both[self.order].astype(np.uint64)
 
-    def means(self, sums: np.ndarray, events: int, size: int, mass: float) -> np.ndarray:
-        """The mean loss of each text. sums: the corpus counts of self.keys."""
+    def own_counts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each event how often its pair, its first and its second event stand in its own text."""
+        text = np.repeat(np.arange(len(self.lengths)), self.lengths)
+
+        def within(codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            return np.unique(text * size + codes, return_inverse=True, return_counts=True)
+
+        _, at, n = within(self.place, self.pairs)
+        pair = n[at]
+        keys, at, n = within(self.second, len(self.single))
+        # each text begins and ends with the bound, so what stands first in a pair stands second in another as often
+        return pair, n[np.searchsorted(keys, text * len(self.single) + self.first)], n[at]
+
+    def means(self, sums: np.ndarray, events: int, size: int, mass: float, counted: np.ndarray) -> np.ndarray:
+        """The mean loss of each text. sums: the corpus counts of self.keys; counted: a flag for each text, whether they hold its own."""
         counts = np.empty(len(sums))
         counts[self.order] = sums
         single = counts[self.pairs :]
-        loss = _loss(counts[: self.pairs][self.place], single[self.first], single[self.second], events, size, mass)
+        own = np.repeat(counted, self.lengths)
+        pair, first, second = (own * x for x in self.own_counts())
+        rest = events - own * np.repeat(self.lengths, self.lengths)
+        loss = _loss(counts[: self.pairs][self.place] - pair, single[self.first] - first, single[self.second] - second, rest, size, mass)
         return np.add.reduceat(loss, np.cumsum(self.lengths) - self.lengths) / self.lengths
 
 
@@ -281,7 +298,7 @@ def _delete(written: DataFrame) -> None:
         path.getFileSystem(written.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
-def _loss(pair: np.ndarray, first: np.ndarray, second: np.ndarray, events: int, size: int, mass: float) -> np.ndarray:
+def _loss(pair: np.ndarray, first: np.ndarray, second: np.ndarray, events: np.ndarray | int, size: int, mass: float) -> np.ndarray:
     """-log2 P(w | v) from c(v, w), c(v), c(w), N and V."""
     return -np.log2((pair + mass * (second + 1) / (events + size)) / (first + mass))
 
@@ -309,9 +326,11 @@ def lm_scoring(docs: DataFrame, labels: DataFrame, vocabulary: int | None = None
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, (own, *sums) in _by_key(batches):
             chunk = _Chunk(own["lengths"], own["keys"], own["codes"])
-            of = lambda name, n: chunk.means(np.concatenate([_unpack(r[name]) for r in sums]), n, size, mass)  # noqa: B023, E731
-            back = of("background", background)
-            near = of("target", target) if target else back
+            of = lambda name, n, counted: chunk.means(np.concatenate([_unpack(r[name]) for r in sums]), n, size, mass, counted)  # noqa: B023, E731
+            every, marked = np.ones(len(chunk.lengths), bool), np.zeros(len(chunk.lengths), bool)
+            marked[own["marks"] or []] = True
+            back = of("background", background, every)
+            near = of("target", target, marked) if target else back
             yield pa.RecordBatch.from_arrays([pa.array(own["doc_ids"], pa.int64()), pa.array(chunk.lengths - 1), pa.array(near), pa.array(back), pa.array(near - back)], ["doc_id", "n_tokens", "ce_target", "ce_background", "ce_difference"])
 
     with small_batches(docs.sparkSession, BATCH_ROWS), _freed_shuffles(docs.sparkSession):
@@ -321,4 +340,4 @@ def lm_scoring(docs: DataFrame, labels: DataFrame, vocabulary: int | None = None
         sums = materialise(corpus_counts(marked, buckets), "sums")
         # a chunk stands before its sums, which come by bucket
         whole = marked.withColumn("bucket", F.lit(-1)).unionByName(sums, allowMissingColumns=True).repartition("chunk").sortWithinPartitions("chunk", "bucket")
-        return materialise(whole.select("chunk", "bucket", "doc_ids", "lengths", "keys", "codes", "background", "target").mapInArrow(score, SCHEMA), "scores")
+        return materialise(whole.select("chunk", "bucket", "doc_ids", "lengths", "keys", "codes", "marks", "background", "target").mapInArrow(score, SCHEMA), "scores")
