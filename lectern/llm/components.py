@@ -26,9 +26,11 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         if not seen[0]:
             break
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # written, so that both sides of each join are plain exchanges, of which Spark splits the links of a node that many share
+        least = materialise(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).where(F.col("u") != F.col("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = materialise(large, "large")
+        least = materialise(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         moved = large.join(least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = materialise(moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "links")
         before, seen = seen, _print_of(now)

@@ -43,7 +43,10 @@ SKETCH_BLOCK = 1 << 14
 LIST_ROWS = 50_000
 PARITY_BITS = 512
 STAR_PAIRS = 3
-FILTER_BITS = 24
+#: Bits of the filter of ids: by their number, from FILTER_BITS[0] to FILTER_BITS[1] (32 MB); beyond what that holds, ids are joined.
+FILTER_BITS = (24, 28)
+#: Entries of a bucket: 48 MB.
+BUCKET_ENTRIES = 1 << 21
 _P1, _P2 = np.uint64(0x9E3779B185EBCA87), np.uint64(0xC2B2AE3D27D4EB4F)
 _ENTRY = np.dtype([("h", "<u8"), ("sig", "<u8"), ("n", "<u4"), ("cell", "<u4")])
 
@@ -65,9 +68,9 @@ def shingles(text: str, width: int = WIDTH) -> np.ndarray:
     return mixed[np.concatenate([[True], mixed[1:] != mixed[:-1]])]
 
 
-def signature(found: np.ndarray) -> int:
+def signature(found: np.ndarray, salt: int = 0) -> int:
     """64 bits of a set, as a signed number."""
-    return int(np.uint64(xxhash.xxh3_64_intdigest(found.tobytes(), seed=len(found))).astype(np.int64))
+    return int(np.uint64(xxhash.xxh3_64_intdigest(found.tobytes(), seed=len(found) + (salt << 40))).astype(np.int64))
 
 
 def parity(found: np.ndarray) -> bytes:
@@ -81,7 +84,7 @@ def kept_entries(n):
     return n - (4 * n + 4) // 5 + 1
 
 
-def _sets(docs: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, salt: int = 0) -> DataFrame:
     """doc_id, n, sig, bits of each row; and, where block is not null, the counts of a part of the sketch."""
     names, kinds = ["doc_id", "n", "sig", "bits", "block", "counts"], [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
 
@@ -94,7 +97,7 @@ def _sets(docs: DataFrame) -> DataFrame:
                 for text in texts:
                     found = shingles(text)
                     sizes.append(len(found))
-                    sigs.append(signature(found) if len(found) else None)
+                    sigs.append(signature(found, salt) if len(found) else None)
                     bits.append(parity(found) if len(found) else None)
                     if len(found) and sigs[-1] not in seen:
                         seen.add(sigs[-1])
@@ -134,7 +137,7 @@ def _splits(sketch: np.ndarray, list_rows: int) -> np.ndarray:
     return np.maximum(1, np.ceil(above / list_rows)).astype(np.int64)
 
 
-def _entries(docs: DataFrame, sketch: np.ndarray, list_rows: int, buckets: int) -> DataFrame:
+def _entries(docs: DataFrame, sketch: np.ndarray, list_rows: int, buckets: int, salt: int = 0) -> DataFrame:
     """bucket and packed entries of the cut rows of the matrix."""
     shipped = docs.sparkSession.sparkContext.broadcast((sketch, _splits(sketch, list_rows)))
 
@@ -165,7 +168,7 @@ def _entries(docs: DataFrame, sketch: np.ndarray, list_rows: int, buckets: int)
             parts, held = [], 0
             for text in (t for texts in in_slices(batch.column(1)) for t in texts):
                 found = shingles(text)
-                if not len(found) or (sig := signature(found)) in seen:
+                if not len(found) or (sig := signature(found, salt)) in seen:
                     continue
                 seen.add(sig)
                 rarest = np.argsort(counts[found >> np.uint64(64 - SLOT_BITS)], kind="stable")[: kept_entries(len(found))]
@@ -327,14 +330,21 @@ def _summed(partners: DataFrame) -> DataFrame:
 def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """u, v of the pairs (a, b) of ids whose whole sets are similar enough."""
     pairs = materialise(pairs, "pairs")
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct().select((slot + 1).alias("slot"))
-    # a filter of fixed size: 2^24 bits, in rows of 32,768; what it lets through in error meets no pair
-    bits = wanted.groupBy(F.bitmap_bucket_number("slot").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect()
-    whole = np.zeros((1 << FILTER_BITS) // 8 + 4096, np.uint8)
-    for row in bits:  # Spark numbers bits from 1, and rows too
-        at = (row["k"] - 1) * 4096
-        whole[at : at + 4096] = np.frombuffer(row["bits"], np.uint8)
+    ids = materialise(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+    n_ids = ids.count()
+    docs = docs.where("doc_id IS NOT NULL")
+    if 4 * n_ids > 1 << FILTER_BITS[1]:
+        docs, whole, size = docs.join(ids.hint("merge"), "doc_id", "left_semi").withColumn("slot", F.lit(0).cast("long")), np.ones(1, np.uint8), 1
+    else:
+        size = 1 << min(max((16 * n_ids).bit_length(), FILTER_BITS[0]), FILTER_BITS[1])
+        slot = F.pmod(F.xxhash64("doc_id"), F.lit(size))
+        # a filter, in rows of 32,768 bits; what it lets through in error meets no pair
+        bits = ids.select((slot + 1).alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect()
+        whole = np.zeros(size // 8 + 4096, np.uint8)
+        for row in bits:  # Spark numbers bits from 1, and rows too
+            at = (row["k"] - 1) * 4096
+            whole[at : at + 4096] = np.frombuffer(row["bits"], np.uint8)
+        docs = docs.withColumn("slot", slot)
     shipped = docs.sparkSession.sparkContext.broadcast(whole)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -358,22 +368,37 @@ def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
                 good.append(100 * shared >= 80 * (len(p) + len(q) - shared))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["u", "v"]).filter(pa.array(good, pa.bool_()))
 
-    found = docs.where("doc_id IS NOT NULL").withColumn("slot", slot).mapInArrow(sets, "doc_id long, shingles binary")
+    found = docs.mapInArrow(sets, "doc_id long, shingles binary")
     x, y = found.withColumnsRenamed({"doc_id": "a", "shingles": "x"}), found.withColumnsRenamed({"doc_id": "b", "shingles": "y"})
     # the side of many different ids first: a leader of thousands meets one copy of its set, and Spark may split its rows
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(decide, "u long, v long")
 
 
+def _signed(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """The sets; sig, node, n, bits of the different ones; and the salt of the signatures.
+
+    Sets of one signature are told apart by their sizes and parities, 512 bits that do not depend on it. If such sets meet, all
+    signatures are made anew with another salt.
+    """
+    for salt in range(16):
+        found = materialise(_sets(docs, salt), "sets")
+        own = F.struct("n", "bits")
+        grouped = found.where("sig IS NOT NULL AND doc_id IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("node"), F.min(own).alias("x"), F.max(own).alias("y"))
+        rows = materialise(grouped.select("sig", "node", "x.n", "x.bits", (F.col("x") == F.col("y")).alias("alike")), "rows")
+        if rows.where("NOT alike").isEmpty():
+            return found, rows.drop("alike"), salt
+    raise RuntimeError("different sets have one signature under each salt")
+
+
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", list_rows: int = LIST_ROWS) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id."""
     spark, docs = docs.sparkSession, id_and_text(docs, id_col, text_col)
-    buckets = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = materialise(_sets(docs), "sets")
+    found, rows, salt = _signed(docs)
     sets = found.where("block IS NULL").select("doc_id", "n", "sig")
-    grouped = found.where("sig IS NOT NULL AND doc_id IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("node"), F.first("bits").alias("bits"))
-    rows = materialise(grouped, "rows")
     named = rows.select("sig", "node")
-    lists = materialise(_lists(_entries(docs.where("doc_id IS NOT NULL"), _sketch(found), list_rows, buckets)), "lists")
+    kept = rows.agg(F.sum(F.col("n") - F.floor((4 * F.col("n") + 4) / 5) + 1)).first()[0] or 0
+    buckets = max(8 * int(spark.conf.get("spark.sql.shuffle.partitions")), kept // BUCKET_ENTRIES)
+    lists = materialise(_lists(_entries(docs.where("doc_id IS NOT NULL"), _sketch(found), list_rows, buckets, salt)), "lists")
 
     stars = lists.where("h IS NULL").groupBy("sig", "leader").agg(F.sum("overlap").alias("overlap"))
     # the leaders of one row: as many as it has entries at most
@@ -382,7 +407,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     linked = materialise(_verified(docs, stars), "linked")
     near = components(linked)
 
-    member = lists.where("h IS NOT NULL").select("h", "cell", "sig", "n").join(rows, "sig").join(near, "node", "left")
+    member = lists.where("h IS NOT NULL").select("h", "cell", "sig", "n").join(rows.select("sig", "node", "bits"), "sig").join(near, "node", "left")
     member = materialise(member.select("h", "cell", "node", "n", F.coalesce("component", "node").alias("component"), "bits"), "members")
     mixed = member.groupBy("h", "cell").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("h", "cell")
     apart = _summed(_partners(member.join(mixed, ["h", "cell"], "left_semi")))

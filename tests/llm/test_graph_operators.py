@@ -173,6 +173,26 @@ def test_components_match_all_pairs(spark):
         assert got == plain_components(rows)
 
 
+def test_sets_of_one_signature_are_told_apart(spark, monkeypatch):
+    rows = near_copies(random.Random(4), 60)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).select(F.col("doc_id"), F.col("text"))
+    assert jaccard._signed(docs)[2] == 0
+    found = jaccard._sets(docs)
+    weak = lambda d, salt=0: found.withColumn("sig", F.col("sig") % 7) if salt < 2 else jaccard_sets(d, salt)
+    jaccard_sets = jaccard._sets
+    monkeypatch.setattr(jaccard, "_sets", weak)
+    assert jaccard._signed(docs)[2] == 2
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_join(docs).collect()}
+    assert got == plain_components(rows)
+
+
+def test_ids_beyond_the_filter_are_joined(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "FILTER_BITS", (3, 5))
+    rows = near_copies(random.Random(5), 150)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_join(docs).collect()} == plain_components(rows)
+
+
 def test_salted_lists_cover_all_pairs():
     sketch = np.full(1 << jaccard.SLOT_BITS, 100)
     sketch[5] = 100 + 40 + 950
