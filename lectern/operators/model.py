@@ -95,7 +95,7 @@ def assemble(events: Iterable[str]) -> tuple[str, str, str | None, dict | None]:
 
 
 def ask(prompts: DataFrame, key: str, chat: Chat, prompt: str = "prompt", short_prompt: str | None = None, partitions: int | None = None) -> DataFrame:
-    """key, prompt_hash, reply, error: one call per row; after a failure one with the short prompt, where there is one.
+    """key, prompt_hash, reply, error, short: one call per row; after a failure one with the short prompt, where there is one.
 
     The number of partitions bounds the calls at a time. Write the result before anything reads it twice: a plan that is run again asks
     again. The hash tells equal prompts.
@@ -107,17 +107,18 @@ def ask(prompts: DataFrame, key: str, chat: Chat, prompt: str = "prompt", short_
         for part in parts:
             out = []
             for row in part.itertuples(index=False):
-                reply, error = None, None
-                for text in row[1:]:
+                reply, error, short = None, None, False
+                for k, text in enumerate(row[1:]):
+                    short = k > 0
                     try:
                         reply, error = chat(text), None
                         break
                     except Exception as e:  # every failure of a connector becomes a failed item
                         error = f"{type(e).__name__}: {e}"
-                out.append((row[0], hashlib.sha256((row[1] or "").encode()).hexdigest(), reply, error))
-            yield pd.DataFrame(out, columns=[key, "prompt_hash", "reply", "error"])
+                out.append((row[0], hashlib.sha256((row[1] or "").encode()).hexdigest(), reply, error, short))
+            yield pd.DataFrame(out, columns=[key, "prompt_hash", "reply", "error", "short"])
 
-    return rows.mapInPandas(run, f"{key} {dict(prompts.dtypes)[key]}, prompt_hash string, reply string, error string")
+    return rows.mapInPandas(run, f"{key} {dict(prompts.dtypes)[key]}, prompt_hash string, reply string, error string, short boolean")
 
 
 def calibration(asked: DataFrame, prompt: str, real_tokens: str) -> DataFrame:

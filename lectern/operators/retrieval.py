@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
+import ahocorasick
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions import text as X
 from ..functions.splitting import estimate
@@ -46,15 +51,33 @@ def tokens_in_words(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return met.select("token", "word", X.count_in(F.col("token"), F.col("word")).alias("inside"))
 
 
-def scores(questions: DataFrame, chunks: DataFrame, question_id: str, question: str, chunk_id: str, text: str = "text") -> DataFrame:
-    """question_id, chunk_id, score of every pair with a positive score.
+#: Question tokens that go to every task; with more of them, scores are joins.
+SCANNED = 1 << 17
+_SLICE_CELLS, _QUESTION_BLOCK = 1 << 21, 256
+
+
+def scores(questions: DataFrame, chunks: DataFrame, question_id: str, question: str, chunk_id: str, text: str = "text", most: int | None = None) -> DataFrame:
+    """question_id, chunk_id, score of every pair with a positive score. most: of each question the best ones are enough, so many and ties.
 
     The score is the sum over the question's different tokens of (occurrences as a substring of the lower-case text) x idf, plus PHRASE_BONUS for
     each proper-noun phrase that the text contains. A token has word characters only, so each occurrence lies in one word, and its count is
-    the sum over words of tf x (occurrences in the word): joins by equality, with counts summed per chunk and token before questions
-    come in. A token that is no word of the corpus weighs 1. Scores are rounded to 6 places, which makes ties independent of the order of sums.
+    the sum over words of tf x (occurrences in the word). A token that is no word of the corpus weighs 1. Scores are rounded to 6 places, which
+    makes ties independent of the order of sums.
+
+    With SCANNED tokens of questions at most, one scan of the chunks scores all questions, as a product of matrices; with more, words meet
+    tokens in joins by equality, with counts summed per chunk and token before questions come in.
     """
     asked = questions.select(F.col(question_id).alias("q"), F.explode(X.tokens(F.col(question))).alias("token"))
+    asked = cut(asked, "asked")
+    if asked.count() <= SCANNED:
+        found = _scanned(asked, questions, chunks, question_id, question, chunk_id, text, most)
+    else:
+        found = _joined(asked, questions, chunks, question_id, question, chunk_id, text)
+    total = found.select("q", "c", F.round("s", 6).alias("score"))
+    return total.select(F.col("q").alias(question_id), F.col("c").alias(chunk_id), "score")
+
+
+def _joined(asked: DataFrame, questions: DataFrame, chunks: DataFrame, question_id: str, question: str, chunk_id: str, text: str) -> DataFrame:
     tokens = asked.select("token").distinct()
     # texts are taken apart once: words, weights, counts and phrases all read the postings
     posted = cut(postings(chunks.select(F.col(chunk_id).alias("c"), F.col(text).alias("text")), "c"), "postings")
@@ -64,8 +87,98 @@ def scores(questions: DataFrame, chunks: DataFrame, question_id: str, question:
     weights = tokens.join(known.select("token", "idf"), "token", "left").select("token", F.coalesce("idf", F.lit(1.0)).alias("idf"))
     weighted = asked.join(weights, "token").join(counts, "token").select("q", "c", (F.col("n") * F.col("idf")).alias("s"))
     bonus = _phrase_bonus(questions, chunks, inside, posted, question_id, question, chunk_id, text)
-    total = weighted.unionByName(bonus).groupBy("q", "c").agg(F.round(F.sum("s"), 6).alias("score"))
-    return total.select(F.col("q").alias(question_id), F.col("c").alias(chunk_id), "score")
+    return weighted.unionByName(bonus).groupBy("q", "c").agg(F.sum("s").alias("s"))
+
+
+class _Asked:
+    """Questions as matrices: for each block of them the places of its tokens, and a table of token by question."""
+
+    def __init__(self, pairs: list[tuple], idf: dict[str, float], phrases: list[tuple]):
+        self.questions = sorted({q for q, _ in pairs})
+        self.tokens = sorted({t for _, t in pairs})
+        self.place = {t: i for i, t in enumerate(self.tokens)}
+        self.bordered = np.array([any(t.startswith(t[k:]) for k in range(1, len(t))) for t in self.tokens], bool)
+        self.automaton = ahocorasick.Automaton()
+        for t, i in self.place.items():
+            self.automaton.add_word(t, i)
+        self.automaton.make_automaton()
+        self.idf = np.array([idf.get(t, 1.0) for t in self.tokens])
+        number = {q: i for i, q in enumerate(self.questions)}
+        own: list[list[int]] = [[] for _ in self.questions]
+        for q, t in pairs:
+            own[number[q]].append(self.place[t])
+        self.blocks = []
+        for at in range(0, len(own), _QUESTION_BLOCK):
+            some = own[at : at + _QUESTION_BLOCK]
+            used = np.unique(np.concatenate([np.array(x, np.int64) for x in some]))
+            table = np.zeros((len(used), len(some)))
+            for k, x in enumerate(some):
+                table[np.searchsorted(used, x), k] = 1.0
+            self.blocks.append((at, used, table))
+        self.phrases = [(number[q], p, self.place[max(re.findall(r"\w+", p), key=len)]) for q, p in phrases]
+
+    def counts(self, texts: list[str]) -> np.ndarray:
+        """[text, token]: occurrences without overlap, in one pass over each text."""
+        out = np.zeros((len(texts), len(self.tokens)))
+        for row, text in zip(out, texts, strict=True):
+            found = [i for _, i in self.automaton.iter(text)]
+            if found:
+                row += np.bincount(found, minlength=len(row))
+                # of a token that may overlap itself not every place counts
+                for i in np.flatnonzero(self.bordered & (row > 1)).tolist():
+                    row[i] = text.count(self.tokens[i])
+        return out
+
+    def scores(self, texts: list[str]) -> Iterator[tuple[int, np.ndarray]]:
+        """(number of the first question, scores by text and question) for each block."""
+        counts = self.counts(texts)
+        bonus: dict[int, list[tuple[int, int]]] = {}
+        for q, phrase, token in self.phrases:
+            for row in np.flatnonzero(counts[:, token]).tolist():
+                if phrase in texts[row]:
+                    bonus.setdefault(q // _QUESTION_BLOCK, []).append((row, q % _QUESTION_BLOCK))
+        weighted = counts * self.idf
+        for block, (at, used, table) in enumerate(self.blocks):
+            found = weighted[:, used] @ table
+            for row, q in bonus.get(block, ()):
+                found[row, q] += S.PHRASE_BONUS
+            yield at, found
+
+
+def _scanned(asked: DataFrame, questions: DataFrame, chunks: DataFrame, question_id: str, question: str, chunk_id: str, text: str, most: int | None) -> DataFrame:
+    """q, c, s in one scan of the chunks; what is shipped has SCANNED tokens at most."""
+    spark = chunks.sparkSession
+    pairs = [(r["q"], r["token"]) for r in asked.collect()]
+    tokens = F.broadcast(asked.select("token").distinct())
+    held = chunks.select(F.explode(X.tokens(F.col(text))).alias("token")).join(tokens, "token")
+    idf = {r["token"]: r["idf"] for r in _weighed(held, chunks).collect()}
+    phrases = questions.select(F.col(question_id).alias("q"), F.explode(F.transform(X.phrases(F.col(question)), F.lower)).alias("p")).where("q IS NOT NULL")
+    shipped = spark.sparkContext.broadcast((pairs, idf, [(r["q"], r["p"]) for r in phrases.collect()]))
+    rows = chunks.select(F.col(chunk_id).alias("c"), F.lower(F.coalesce(F.col(text), F.lit(""))).alias("t"))
+    pairs_given = bool(pairs)
+    kinds = [to_arrow_type(asked.schema["q"].dataType), to_arrow_type(rows.schema["c"].dataType), pa.float64()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not pairs_given:
+            return
+        known = _Asked(*shipped.value)
+        step = max(16, _SLICE_CELLS // max(1, len(known.tokens)))
+        least = np.zeros(len(known.questions))  # what a chunk needs to be among the best so far
+        best = np.zeros((len(known.questions), most)) if most else None
+        for batch in batches:
+            for at in range(0, batch.num_rows, step):
+                ids = batch.column(0).slice(at, step)
+                for first, found in known.scores(batch.column(1).slice(at, step).to_pylist()):
+                    own = slice(first, first + found.shape[1])
+                    if most:
+                        every = np.concatenate([best[own], found.T], 1)
+                        best[own] = -np.partition(-every, most - 1, 1)[:, :most]
+                        least[own] = best[own].min(1) - 1e-5
+                    row, q = np.nonzero((found > 0) & (found >= least[own]))
+                    names = [known.questions[i] for i in (q + first).tolist()]
+                    yield pa.RecordBatch.from_arrays([pa.array(names, kinds[0]), ids.take(pa.array(row)).cast(kinds[1]), pa.array(found[row, q])], ["q", "c", "s"])
+
+    return rows.mapInArrow(run, f"q {asked.schema['q'].dataType.simpleString()}, c {rows.schema['c'].dataType.simpleString()}, s double")
 
 
 def _phrase_bonus(questions: DataFrame, chunks: DataFrame, inside: DataFrame, posted: DataFrame, question_id: str, question: str, chunk_id: str, text: str) -> DataFrame:
@@ -96,8 +209,8 @@ def prefilter(questions: DataFrame, chunks: DataFrame, question_id: str, questio
     asked = questions.select(question_id, limit.alias("_limit"))
     placed = chunks.select(chunk_id, position)
     best = Window.partitionBy(question_id).orderBy(F.desc("score"), position)
-    scored = scores(questions, chunks, question_id, question, chunk_id, text).where("score > 0").join(placed, chunk_id)
     total, most = chunks.count(), questions.agg(F.max(limit)).first()[0] or 0
+    scored = scores(questions, chunks, question_id, question, chunk_id, text, int(most) or None).where("score > 0").join(placed, chunk_id)
     # a constant bound first, for which Spark keeps only the best rows of each task before the exchange
     ranked = scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= most)
     ranked = ranked.join(asked, question_id).where((F.col("rank") <= F.col("_limit")) & (total > F.col("_limit"))).select(question_id, chunk_id, position, "score", "rank")
@@ -196,13 +309,21 @@ def budgeted_prompts(candidates: DataFrame, question_id: str, question: str, tex
 
 
 def local_ids(reply: Column) -> Column:
-    """array<string>: what the reply lists as candidate_chunks, as JSON text; null where it is no JSON object."""
+    """array<int>: the integers that the reply lists as candidate_chunks, true and false as 1 and 0; null where it lists nothing.
+
+    Numbers in quotes and fractions are no integers, though they could be read as such.
+    """
     body = X.outer_braces(reply, guarded=False)
-    return F.from_json(F.get_json_object(body, "$.candidate_chunks"), "array<string>")
+    listed = F.try_variant_get(F.try_parse_json(F.get_json_object(body, "$.candidate_chunks")), "$", "array<variant>")
+
+    def integer(x: Column) -> Column:
+        kind = F.schema_of_variant(x)
+        return F.when(kind == "BIGINT", F.try_variant_get(x, "$", "int")).when(kind == "BOOLEAN", F.try_variant_get(x, "$", "boolean").cast("int"))
+
+    return F.filter(F.transform(listed, integer), lambda n: n.isNotNull())
 
 
 def real_ids(listed: Column, used: Column) -> Column:
-    """The used ids at the listed local numbers: no numbers and numbers out of range are left out, repeats too."""
-    number = lambda x: F.when(x.rlike(r"^-?\d+$"), x.try_cast("int"))
-    valid = F.filter(F.transform(listed, number), lambda n: n.isNotNull() & (n >= 0) & (n < F.size(used)))
+    """The used ids at the listed local numbers: numbers out of range are left out, repeats too."""
+    valid = F.filter(listed, lambda n: (n >= 0) & (n < F.size(used)))
     return F.array_distinct(F.transform(valid, lambda n: F.get(used, n)))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
@@ -108,9 +109,9 @@ def model_detector(chat: Callable[[str, int], str], prompt: str = HEADING_PROMPT
     def detect(lines: list[str]) -> dict[int, int]:
         levels, known = dict.fromkeys(range(len(lines)), -1), []
         where = batches([estimate(x) for x in lines], S.HEADING_BATCH_TOKENS)
-        for b in range(where[-1] + 1 if where else 0):
-            batch = [(i, lines[i]) for i in range(len(lines)) if where[i] == b]
-            for i, level in ask(batch, known) or []:
+        numbered = zip(where, enumerate(lines), strict=True)
+        for _, batch in itertools.groupby(numbered, key=lambda x: x[0]):
+            for i, level in ask([line for _, line in batch], known) or []:
                 if 0 <= i < len(lines):
                     levels[i] = level
                     if level != -1:

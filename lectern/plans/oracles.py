@@ -102,17 +102,71 @@ def _fold(first: str, fits: str, more: str, anew: str, name: str) -> str:
     return _FOLD % (_LINES.format("text"), first, fits, fits, more, anew, name)
 
 
-def _overlap(table: str, key: str, text: str, n: int, out: str) -> str:
+def _overlap(table: str, key: str, text: str, n: int, out: str, before: str = "", result: str = "f") -> str:
     """The overlap one chunk after the other, by a recursive query that carries the last words."""
     last = lambda t: f"array_to_string(({_WORDS.format(t)})[-{n}:], ' ')"
     over = "CASE WHEN f.tail = '' OR starts_with(c.t, f.tail) THEN c.t ELSE f.tail || chr(10) || c.t END"
-    return f"""WITH RECURSIVE c AS (SELECT {key} AS k, {text} AS t, row_number() OVER (ORDER BY {key}) AS i FROM {table}),
+    return f"""WITH RECURSIVE {before} c AS (SELECT {key} AS k, {text} AS t, row_number() OVER (ORDER BY {key}) AS i FROM {table}),
 f AS (
   SELECT k, i, t, {last('t')} AS tail FROM c WHERE i = 1
   UNION ALL
   SELECT c.k, c.i, {over}, {last(over)} FROM f JOIN c ON c.i = f.i + 1
 )
-SELECT {out} FROM f"""
+SELECT {out} FROM {result}"""
+
+
+_BLANK = r"regexp_matches({}, '^\s*$')"
+#: A line feed before "<number>. <8 digits> ", where no line begins.
+_ROWS_APART = r"regexp_replace({}, '([^\n])(\d+\.\s+\d{{8}}\s+)', '\1' || chr(10) || '\2', 'g')"
+
+
+def _split(limit: int = 500) -> str:
+    """Tables p1 to p5 from a table p0 of k, path (a list of numbers) and t: texts in pieces, cut at one separator after the other.
+
+    Parts are folded one by one; a fold carries the number of its run and how long that is. An empty run (held = 0) takes the next part as it is.
+    """
+    out = []
+    for n, (sep, size) in enumerate((("chr(10) || chr(10)", 2), ("chr(10)", 1), ("'. '", 2), ("' '", 1))):
+        longer = f"CASE WHEN f.held > 0 THEN f.held + {size} ELSE 0 END + length(l.part)"
+        fits = f"(CASE WHEN {longer} = 0 THEN 0 ELSE floor(({longer}) / CAST(2.2 AS DOUBLE)) + 1 END) <= {limit}"
+        alone = f"CASE WHEN length(part) = 0 THEN 0 ELSE floor(length(part) / CAST(2.2 AS DOUBLE)) + 1 END <= {limit}"
+        out.append(f"""l{n} AS MATERIALIZED (SELECT k, path, unnest(x) AS part, generate_subscripts(x, 1) - 1 AS i FROM (SELECT k, path, string_split(t, {sep}) AS x FROM p{n} WHERE {_EST.format('t')} > {limit} AND NOT {_BLANK.format('t')})),
+f{n} AS (
+  SELECT k, path, i, part, 0 AS g, CAST(length(part) AS BIGINT) AS held, part <> '' AS held_part, {alone} AS small FROM l{n} WHERE i = 0
+  UNION ALL
+  SELECT l.k, l.path, l.i, l.part, CASE WHEN {fits} OR f.held = 0 THEN f.g ELSE f.g + 1 END, CASE WHEN {fits} THEN {longer} ELSE length(l.part) END, l.part <> '' OR (f.held > 0 AND {fits}), true
+  FROM f{n} f JOIN l{n} l ON l.k = f.k AND l.path = f.path AND l.i = f.i + 1
+),
+p{n + 1} AS MATERIALIZED (
+  SELECT k, list_append(path, 0) AS path, t FROM p{n} WHERE {_EST.format('t')} <= {limit} AND NOT {_BLANK.format('t')}
+  UNION ALL SELECT k, list_append(path, g), string_agg(part, {sep} ORDER BY i) FROM f{n} WHERE held_part GROUP BY k, path, g
+)""")
+    words = f"SELECT k, path, {_WORDS.format('t')} AS w FROM p4 WHERE {_EST.format('t')} > {limit} AND NOT {_BLANK.format('t')}"
+    out.append(f"""p5 AS (
+  SELECT k, list_append(path, 0) AS path, t FROM p4 WHERE {_EST.format('t')} <= {limit} AND NOT {_BLANK.format('t')}
+  UNION ALL SELECT k, list_append(path, a), array_to_string(w[a + 1:a + {limit}], ' ') FROM (SELECT k, path, w, unnest(range(0, len(w), {limit})) AS a FROM ({words}))
+)""")
+    return ",\n".join(out)
+
+
+def _by_headings() -> str:
+    """Tables b1 to b4 from a table b0 of k, path, titles and t: bodies below headings, level by level, line by line."""
+    out = []
+    strip = lambda x: _STRIP.format(x)
+    for n, pattern in enumerate(HEADINGS):
+        out.append(f"""h{n} AS (
+  SELECT k, path, titles, i, line, CAST(regexp_matches(line, '{pattern}') AND NOT {_BLANK.format('line')} AS INT) AS h FROM (SELECT k, path, titles, unnest(x) AS line, generate_subscripts(x, 1) AS i FROM (SELECT k, path, titles, string_split(t, chr(10)) AS x FROM b{n}))
+), g{n} AS (SELECT *, sum(h) OVER (PARTITION BY k, path ORDER BY i) AS g, sum(h) OVER (PARTITION BY k, path) AS n FROM h{n}),
+b{n + 1} AS MATERIALIZED (
+  SELECT k, list_append(path, CAST(g AS BIGINT)) AS path, CASE WHEN g = 0 THEN any_value(titles) ELSE list_append(any_value(titles), max({strip('line')}) FILTER (h = 1)) END AS titles,
+    CASE WHEN any_value(n) = 0 THEN string_agg(line, chr(10) ORDER BY i) ELSE {strip("coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (h = 0), '')")} END AS t
+  FROM g{n} GROUP BY k, path, g HAVING any_value(n) = 0 OR NOT {_BLANK.format("coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (h = 0), '')")}
+)""")
+    return ",\n".join(out)
+
+
+_PIECES = f"p0 AS (SELECT doc_id AS k, CAST([] AS BIGINT[]) AS path, {_ROWS_APART.format('text')} AS t FROM documents),\n{_split()}"
+_FIRST = "firsts AS (SELECT doc_id, source, min(doc_id) OVER (PARTITION BY source) AS first FROM documents)"
 
 
 ORACLES = {
@@ -131,6 +185,25 @@ ORACLES = {
       z AS (SELECT page_id, list_filter(flatten(list_transform(b, lambda v, i: [{'segment': v, 'is_media': false}, {'segment': m[i], 'is_media': true}])), lambda s: s.segment IS NOT NULL AND s.segment <> '') AS s FROM y)
       SELECT page_id, CAST(generate_subscripts(s, 1) - 1 AS INT) AS pos, unnest(s).segment AS segment, unnest(s).is_media AS is_media FROM z""",
     "overlap_tail": _overlap("benchmark", "item_id", "text", 50, "k AS item_id, t AS text"),
+    "tla_split": f"WITH RECURSIVE {_PIECES} SELECT k AS doc_id, CAST(row_number() OVER (PARTITION BY k ORDER BY path) - 1 AS INT) AS piece_no, t AS piece FROM p5",
+    "split_items": _overlap(
+        "chunks", "chunk_id", "t", 50, "chunk_id, source, CAST(NULL AS VARCHAR) AS file_name, CAST(length(f.t) AS INT) AS n_chars, md5(f.t) AS text_md5",
+        f"{_PIECES}, {_FIRST}, chunks AS (SELECT row_number() OVER (ORDER BY first, doc_id, path) - 1 AS chunk_id, source, t FROM p5 JOIN firsts ON doc_id = k),", "f JOIN chunks ON chunk_id = k",
+    ),
+    "hierarchical_split": f"""WITH RECURSIVE {_HEADED}, b0 AS (SELECT doc_id AS k, CAST([] AS BIGINT[]) AS path, CAST([] AS VARCHAR[]) AS titles, text AS t FROM headed), {_by_headings()},
+      blocks AS (SELECT row_number() OVER () AS k, k AS doc_id, path AS block, titles, t FROM b4),
+      p0 AS (SELECT k, CAST([] AS BIGINT[]) AS path, {_ROWS_APART.format('t')} AS t FROM blocks), {_split()}, {_FIRST},
+      x AS (SELECT row_number() OVER (ORDER BY first, b.doc_id, block, p.path) - 1 AS chunk_id, source, array_to_string(titles, ' > ') AS breadcrumb, array_to_string(titles, '|') AS headings, p.t FROM p5 p JOIN blocks b ON b.k = p.k JOIN firsts f ON f.doc_id = b.doc_id)
+      SELECT chunk_id, source, breadcrumb, headings, md5(CASE WHEN breadcrumb <> '' THEN '[' || breadcrumb || ']' || chr(10) || t ELSE t END) AS text_md5 FROM x""",
+    "budget_fit": f"""WITH RECURSIVE {_SCORES}, own AS (SELECT r.item_id, r.rank, d.text AS t, {_WORDS.format('d.text')} AS w FROM ranked r JOIN documents d ON d.doc_id = r.doc_id WHERE r.rank <= 20),
+      sizes AS (SELECT item_id, rank, n_words, length({_SNIPPET.format(w='w', n='n_words', t='t')}) + length({_SHOWN.format(i='rank - 1', t="''")}) AS size FROM own, (VALUES (150), (75), (37), (20)) v(n_words)),
+      tries AS (
+        SELECT item_id, 0 AS try, count(*) AS n, least(5, count(*)) AS least, 150 AS n_words FROM own GROUP BY 1
+        UNION ALL SELECT item_id, try + 1, CASE WHEN n > least THEN n - greatest(1, n // 5) ELSE n END, least, CASE WHEN n > least THEN n_words ELSE greatest(20, n_words // 2) END FROM tries WHERE n > least OR n_words > 20
+      ),
+      prompts AS (SELECT t.item_id, t.try, t.n, t.n_words, (SELECT length(text) FROM benchmark b WHERE b.item_id = t.item_id) + length('Choose up to 5 chunks that help to answer the question. Reply with JSON only, as in the last line.') + length('Question: ') + length('Chunks:') + 6 + sum(s.size) + t.n - 1 AS n_chars
+        FROM tries t JOIN sizes s ON s.item_id = t.item_id AND s.n_words = t.n_words AND s.rank <= t.n GROUP BY t.item_id, t.try, t.n, t.n_words)
+      SELECT item_id, CAST(n AS INT) AS n_chunks, CAST(n_words AS INT) AS n_words, CAST(n_chars AS INT) AS n_chars FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY CASE WHEN floor(n_chars / CAST(2.2 AS DOUBLE)) + 1 + 50 <= 3000 THEN try ELSE 1000 - try END) AS k FROM prompts) WHERE k = 1""",
     "documents_overlap": _overlap("documents", "doc_id", "text", 50, "k AS doc_id, CAST(length(t) AS INT) AS n_chars, md5(t) AS text_md5"),
     "heading_depth": f"""WITH RECURSIVE {_LEVELS}, i AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY line_no) AS i FROM lines),
       d AS (SELECT source, line_no, level, i, 1 AS depth FROM i WHERE i = 1 UNION ALL SELECT i.source, i.line_no, i.level, i.i, least(i.level, d.depth + 1) FROM d JOIN i ON i.source = d.source AND i.i = d.i + 1)

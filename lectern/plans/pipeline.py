@@ -76,11 +76,13 @@ def generate(chunks: DataFrame, chat: model.Chat, base: int = S.PREFILTER, most:
     picked = cut(model.ask(prompts, "question_id", chat, short_prompt="short_prompt", partitions=partitions), "candidate-replies")
     used = found.groupBy("question_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "chunk_id"))), lambda x: x["chunk_id"]).alias("ids")).join(prompts.select("question_id", "n_chunks"), "question_id")
     used = used.select("question_id", F.slice("ids", F.lit(1), F.col("n_chunks")).alias("ids"))
+    # the short prompt shows the first few only
+    shown = F.when(F.col("short"), F.slice("ids", 1, S.LEAST_CANDIDATES)).otherwise(F.col("ids"))
     # a reply without a JSON object fails its question
     listed = retrieval.local_ids(F.col("reply"))
-    chosen = picked.join(used, "question_id").withColumn("listed", listed)
+    chosen = picked.join(used, "question_id").withColumn("listed", listed).withColumn("ids", shown)
     broken = F.col("error").isNull() & F.get_json_object(X.outer_braces(F.col("reply"), guarded=False), "$").isNull()
-    chosen = cut(chosen.select("question_id", F.when(broken, F.lit("the reply holds no JSON object")).otherwise(F.col("error")).alias("error"), retrieval.real_ids(F.coalesce("listed", F.array().cast("array<string>")), F.col("ids")).alias("ids")), "chosen")
+    chosen = cut(chosen.select("question_id", F.when(broken, F.lit("the reply holds no JSON object")).otherwise(F.col("error")).alias("error"), retrieval.real_ids(F.coalesce("listed", F.array().cast("array<int>")), F.col("ids")).alias("ids")), "chosen")
 
     # labels
     candidates = chosen.where("error IS NULL").select("question_id", F.posexplode("ids").alias("k", "chunk_id"))

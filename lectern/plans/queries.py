@@ -22,7 +22,8 @@ from . import settings as S
 
 
 def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return readers.spread(rows) if name == "documents" else rows
 
 
 # ---------------------------------------------------------------- text and chunks
@@ -333,9 +334,9 @@ def budget_fit(spark, sf_dir):
 
 
 def map_local_ids(spark, sf_dir):
-    """Replies with repeated, foreign and textual numbers, over the five best documents."""
+    """Replies with repeated, foreign, quoted and broken numbers, over the five best documents."""
     used = _top(spark, sf_dir, 5).groupBy("item_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "doc_id"))), lambda x: x["doc_id"]).alias("used"))
-    reply = F.concat(F.lit('```json x {"candidate_chunks": ['), (F.col("item_id") % 5).cast("string"), F.lit(", 1, 1, 99, -1, \"a\", "), (F.col("item_id") % 3).cast("string"), F.lit("]} y```"))
+    reply = F.concat(F.lit('```json x {"candidate_chunks": ['), (F.col("item_id") % 5).cast("string"), F.lit(", \"2\", 1.0, 1, 1, 99, -1, \"a\", null, "), (F.col("item_id") % 3).cast("string"), F.lit("]} y```"))
     return used.select("item_id", F.posexplode(retrieval.real_ids(retrieval.local_ids(reply), F.col("used"))).alias("pos", "doc_id"))
 
 

@@ -78,3 +78,14 @@ def docx_documents(blocks: DataFrame) -> DataFrame:
     every = rows.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("pos", "line", "tid", "html"))).alias("xs"))
     tables = F.map_from_entries(F.transform(F.filter("xs", lambda x: x["html"].isNotNull()), lambda x: F.struct(x["tid"], x["html"])))
     return every.select(F.substring_index("path", "/", -1).alias("source"), F.transform("xs", lambda x: x["line"]).alias("lines"), tables.alias("tables"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df, read from files, over as many tasks as there are cores at least: a file of one row group is one task, whatever is done to its rows.
+
+    Only where there are fewer files than cores are their parts counted, from the footers; a large table is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= cores or df.select(F.spark_partition_id().alias("part")).distinct().count() >= cores:
+        return df
+    return df.repartition(cores)
