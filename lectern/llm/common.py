@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.readers import spread
 from ..sources.scratch import folder
 
 #: White space of the contracts: space, tab, line feed, vertical tab, form feed, carriage return.
@@ -17,7 +18,8 @@ NOT_WHITE = r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows) if name == "documents" else rows
 
 
 @contextlib.contextmanager
