@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from ..functions.text import LOWER, UPPER
 from ..operators.hierarchy import HEADINGS
+from ..operators.labels import LABEL_PROMPT
+from ..operators.questions import QUESTION_PROMPT
+from ..operators.retrieval import CANDIDATE_PROMPT
+from . import settings as S
 
 _WORD = r"[\p{{L}}\p{{N}}_]+"
 _STRIP = r"regexp_replace({}, '^\s+|\s+$', '', 'g')"
@@ -47,11 +51,11 @@ _LEVELS = """lines AS (
 
 
 
-def _scores(asked: str) -> str:
-    """Scores by a scan of every document for every token, as the definition says. asked: a table of item_id and text."""
+def _scores(asked: str, chunks: str = "documents") -> str:
+    """Scores by a scan of every chunk for every token, as the definition says. asked: a table of item_id and text; chunks: of doc_id and text."""
     return (
-        "chunk AS (SELECT doc_id, lower(text) AS t FROM documents), n AS (SELECT count(*) AS n FROM documents), "
-        f"df AS (SELECT token, count(*) AS df FROM (SELECT unnest({_TOKENS.format('text')}) AS token FROM documents) GROUP BY token), "
+        f"chunk AS (SELECT doc_id, lower(text) AS t FROM {chunks}), n AS (SELECT count(*) AS n FROM {chunks}), "
+        f"df AS (SELECT token, count(*) AS df FROM (SELECT unnest({_TOKENS.format('text')}) AS token FROM {chunks}) GROUP BY token), "
         f"asked AS (SELECT item_id, unnest({_TOKENS.format('text')}) AS token FROM {asked}), "
         "idf AS (SELECT token, coalesce((SELECT ln((n.n + 1) / CAST(d.df + 1 AS DOUBLE)) + 1 FROM df d, n WHERE d.token = a.token), 1.0) AS w FROM (SELECT DISTINCT token FROM asked) a), "
         "hits AS (SELECT c.doc_id, i.token, (length(c.t) - length(replace(c.t, i.token, ''))) // length(i.token) * i.w AS s FROM chunk c JOIN idf i ON contains(c.t, i.token)), "
@@ -72,13 +76,17 @@ _SCORES = _scores("benchmark")
 
 _SHOWN = "chr(10) || 'ID: ' || CAST({i} AS VARCHAR) || chr(10) || chr(10) || 'Content:' || chr(10) || {t} || chr(10) || chr(10) || '------------------------' || chr(10)"
 
-_RELATED = f"""tok AS (SELECT doc_id, source, unnest({_LONG.format('text')}) AS token FROM documents),
+def _related(chunks: str = "documents") -> str:
+    return f"""tok AS (SELECT doc_id, source, unnest({_LONG.format('text')}) AS token FROM {chunks}),
 pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM tok a JOIN tok b ON a.token = b.token AND a.source <> b.source GROUP BY 1, 2),
 best AS (SELECT a, b FROM (SELECT a, b, row_number() OVER (PARTITION BY a ORDER BY n DESC, b) AS k FROM pairs) WHERE k = 1),
-same AS (SELECT a.doc_id AS a, b.doc_id AS b, row_number() OVER (PARTITION BY a.doc_id ORDER BY b.doc_id) AS j FROM documents a JOIN documents b ON a.source = b.source AND a.doc_id <> b.doc_id),
+same AS (SELECT a.doc_id AS a, b.doc_id AS b, row_number() OVER (PARTITION BY a.doc_id ORDER BY b.doc_id) AS j FROM {chunks} a JOIN {chunks} b ON a.source = b.source AND a.doc_id <> b.doc_id),
 related AS (SELECT a AS doc_id, CAST(row_number() OVER (PARTITION BY a ORDER BY o) AS INT) AS slot, b AS related_id FROM (
   SELECT a, b, CASE WHEN j = 1 THEN 0 ELSE j END AS o FROM same WHERE j <= 2 UNION ALL SELECT a, b, 1 FROM best) QUALIFY slot <= 2)"""
 
+
+_RELATED = _related()
+
 _GRADED = """graded AS (
   SELECT d.source AS question_id, l.doc_id, l.quality * 2 + l.toxic AS relevance FROM labels l JOIN documents d ON d.doc_id = l.doc_id
   WHERE l.quality * 2 + l.toxic > 0
@@ -169,6 +177,52 @@ _PIECES = f"p0 AS (SELECT doc_id AS k, CAST([] AS BIGINT[]) AS path, {_ROWS_APAR
 _FIRST = "firsts AS (SELECT doc_id, source, min(doc_id) OVER (PARTITION BY source) AS first FROM documents)"
 
 
+def _lit(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _filled(template: str, **values: str) -> str:
+    out = _lit(template)
+    for name, value in values.items():
+        out = f"replace({out}, '{{{name}}}', {value})"
+    return out
+
+
+def _seed(prompt: str) -> str:
+    """What the stand-in model makes of a prompt."""
+    return f"CAST('0x' || substring(md5({prompt}), 1, 8) AS BIGINT)"
+
+
+def _run() -> str:
+    """The whole run over the benchmark texts as chunks: prompts, the replies of the stand-in, and what they become."""
+    step = "(VALUES (0, 1), (1, -1), (2, 2), (3, -2), (4, 3), (5, -3)) s(step, delta)"
+    types, hard = f"{list(S.QUESTION_TYPES)}", f"{list(S.DIFFICULTIES)}"
+    return f"""flat AS (SELECT item_id AS doc_id, text, 'in/' || (item_id // 10) AS source, CAST(item_id // 10 AS VARCHAR) AS file_name FROM benchmark), {_related('flat')},
+shown AS (SELECT r.doc_id, string_agg('ID: ' || d.doc_id || ' (source: ' || d.source || ')' || chr(10) || 'Content:' || chr(10) || d.text, chr(10) || chr(10) ORDER BY slot) AS x FROM related r JOIN flat d ON d.doc_id = r.related_id GROUP BY 1),
+asked_of AS (SELECT f.doc_id, f.text, {_filled(QUESTION_PROMPT, chunk_id="CAST(f.doc_id AS VARCHAR)", chunk="f.text", related_chunks="coalesce(x, '')")} AS p FROM flat f LEFT JOIN shown USING (doc_id)),
+replied AS (SELECT doc_id, text, {_seed('p')} AS seed FROM asked_of),
+questions AS (SELECT *, type = 'multi-hop' OR difficulty = 'hard' AS deep FROM (SELECT doc_id * 1000 AS item_id, doc_id AS chunk_id, substring(split_part(text, chr(10), 1), 1, 60) AS text, {types}[seed % 3 + 1] AS type, {hard}[seed % 5 % 3 + 1] AS difficulty FROM replied WHERE seed % 17 <> 0)),
+{_scores('questions', 'flat')},
+filtered AS (SELECT r.item_id, r.doc_id, r.rank FROM ranked r JOIN questions q USING (item_id) WHERE r.rank <= CASE WHEN deep THEN 18 ELSE 15 END),
+own AS (SELECT * FROM filtered UNION ALL SELECT * FROM (
+  SELECT q.item_id, f.doc_id, CAST(row_number() OVER (PARTITION BY q.item_id ORDER BY f.doc_id) AS INT) AS rank FROM questions q, flat f WHERE q.item_id NOT IN (SELECT item_id FROM filtered) QUALIFY rank <= CASE WHEN q.deep THEN 18 ELSE 15 END)),
+tried AS (SELECT o.item_id, n.doc_id, min(o.rank * 10 + s.step) AS found FROM own o JOIN questions q USING (item_id) JOIN flat d ON d.doc_id = o.doc_id, {step} JOIN flat n ON n.doc_id = o.doc_id + s.delta AND n.source = d.source
+  WHERE (q.deep OR q.type = 'table') AND NOT EXISTS (SELECT 1 FROM own x WHERE x.item_id = o.item_id AND x.doc_id = n.doc_id) GROUP BY 1, 2),
+added AS (SELECT item_id, doc_id, row_number() OVER (PARTITION BY item_id ORDER BY found) AS k, (SELECT count(*) FROM own o WHERE o.item_id = t.item_id) AS had FROM tried t),
+found AS (SELECT item_id, doc_id, rank FROM own UNION ALL SELECT item_id, doc_id, had + k FROM added WHERE k <= 6 AND had + k <= 18),
+listed AS (SELECT item_id, string_agg({_SHOWN.format(i='rank - 1', t='(' + _SNIPPET.format(w='w', n='n', t='t') + ')')}, chr(10) ORDER BY rank) AS x FROM (SELECT f.item_id, f.rank, d.text AS t, {_WORDS.format('d.text')} AS w, CASE WHEN q.deep THEN 300 ELSE 150 END AS n FROM found f JOIN flat d USING (doc_id) JOIN questions q USING (item_id)) GROUP BY 1),
+picked AS (SELECT item_id, {_seed('p')} % 19 <> 0 AS ok FROM (SELECT item_id, {_filled(CANDIDATE_PROMPT, question='text', chunks='x', top_k="'5'")} AS p FROM listed JOIN questions USING (item_id))),
+chosen AS (SELECT item_id, doc_id, rank - 1 AS k FROM found JOIN picked USING (item_id) WHERE ok AND rank <= 5),
+to_grade AS (SELECT item_id, string_agg({_SHOWN.format(i='doc_id', t='f.text')}, chr(10) ORDER BY k) AS x FROM chosen JOIN flat f USING (doc_id) GROUP BY 1),
+graded AS (SELECT item_id, {_seed('p')} AS seed FROM (SELECT item_id, {_filled(LABEL_PROMPT, question='text', chunks='x')} AS p FROM to_grade JOIN questions USING (item_id))),
+given AS (SELECT item_id, doc_id, (seed + doc_id) % 4 AS relevance, row_number() OVER (PARTITION BY item_id ORDER BY k) - 1 AS pos FROM chosen JOIN graded USING (item_id) WHERE (seed + doc_id) % 4 > 0),
+beside AS (SELECT g.item_id, c.doc_id, min([g.pos, c.doc_id - g.doc_id]) AS first FROM given g JOIN questions q USING (item_id) JOIN flat a ON a.doc_id = g.doc_id JOIN chosen c ON c.item_id = g.item_id AND abs(c.doc_id - g.doc_id) IN (1, 2) JOIN flat b ON b.doc_id = c.doc_id AND b.source = a.source
+  WHERE q.type = 'table' AND g.relevance >= 2 AND NOT EXISTS (SELECT 1 FROM given x WHERE x.item_id = g.item_id AND x.doc_id = c.doc_id) GROUP BY 1, 2),
+labelled AS (SELECT * FROM given UNION ALL SELECT item_id, doc_id, 1, (SELECT max(pos) + 1 FROM given g WHERE g.item_id = b.item_id) + first[1] * 5 + first[2] + 2 FROM beside b),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY relevance DESC, pos, doc_id) AS k FROM labelled),
+truth AS (SELECT item_id, string_agg(concat_ws(':', doc_id, relevance, f.source, f.file_name, md5({_STRIP.format('substring(f.text, 1, 200)')})), ',' ORDER BY k) AS chunks, 'from ' || string_agg(CAST(doc_id AS VARCHAR), ' ' ORDER BY k) AS answer, count(*) AS n FROM ordered JOIN flat f USING (doc_id) GROUP BY 1)"""
+
+
 ORACLES = {
     "token_estimate": f"SELECT doc_id, {_EST.format('text')} AS n_tokens FROM documents",
     "payload_budget": f"SELECT doc_id, {_EST.format('text')} + {_EST.format('source')} + 50 AS payload_tokens, {_EST.format('text')} + {_EST.format('source')} + 50 + 4000 <= 65536 - 1024 AS fits FROM documents",
@@ -274,5 +328,9 @@ ORACLES = {
     "truncated_json": """WITH r AS (SELECT item_id, substring('{"items": [' || array_to_string(list_transform(range(5), lambda i: '{"id": ' || i || ', "level": 1}'), ', ') || ']}', 1, 20 + CAST(item_id % 130 AS INT)) AS reply FROM benchmark)
       SELECT item_id, CAST(CASE WHEN ends_with(reply, ']}') THEN 5 WHEN closed > 1 THEN closed - 1 ELSE closed END AS INT) AS n_items FROM (SELECT *, length(reply) - length(replace(reply, '}', '')) AS closed FROM r)""",
     "props_json": "SELECT event_id, json_extract_string(props, '$.k') AS k, CAST(length(props) AS INT) AS n_chars FROM events",
+    "retrieval_dataset": f"WITH {_run()} SELECT item_id AS question_id, text AS question, type, coalesce(chunks, '') AS chunks FROM questions JOIN picked USING (item_id) LEFT JOIN truth USING (item_id) WHERE ok",
+    "qa_dataset": f"WITH {_run()} SELECT item_id AS question_id, text AS question, coalesce(answer, '{S.NO_ANSWER}') AS ground_truth_answer, CAST(coalesce(n, 0) AS INT) AS n_chunks FROM questions JOIN picked USING (item_id) LEFT JOIN truth USING (item_id) WHERE ok",
+    "failed_items": f"""WITH {_run()} SELECT 'generate_questions' AS stage, doc_id AS chunk_id, CAST(NULL AS VARCHAR) AS question, 'RuntimeError: the stand-in refuses this chunk' AS error FROM replied WHERE seed % 17 = 0
+      UNION ALL SELECT 'retrieve/label/answer', NULL, text, 'the reply holds no JSON object' FROM questions JOIN picked USING (item_id) WHERE NOT ok""",
     "failing_model": "SELECT 'generate_questions' AS stage, item_id, sha256(text) AS prompt_hash, 'ValueError: no' AS error FROM benchmark",
 }
