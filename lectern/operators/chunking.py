@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as X
-from ..functions.splitting import last_words, split_text, with_overlap
+from ..functions.splitting import Estimate, estimate, last_words, split_text, with_overlap
 from ..plans import settings as S
 from .ordering import sequential_ids
 
@@ -51,20 +51,24 @@ def text_lines(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(key, F.posexplode(X.lines(F.col(text))).alias("line_no", "line"))
 
 
-def _pieces(texts: pd.Series, limit: pd.Series) -> pd.Series:
-    return pd.Series([split_text(t, n) for t, n in zip(texts, limit, strict=True)])
+def pieces(text: Column, limit: int = S.PIECE_TOKENS, rows_apart: bool = True, count: Estimate = estimate) -> Column:
+    """array<string>: the text in pieces of at most `limit` tokens. Splitting depends on what was packed before, so it is a loop.
 
+    count: the tokens of a text; a tokenizer's own count goes here, as a function that loads it on the worker.
+    """
+
+    @F.pandas_udf("array<string>")
+    def cut_up(texts: pd.Series) -> pd.Series:
+        return pd.Series([split_text(t, limit, count=count) for t in texts])
 
-def pieces(text: Column, limit: int = S.PIECE_TOKENS, rows_apart: bool = True) -> Column:
-    """array<string>: the text in pieces of at most `limit` tokens. Splitting depends on what was packed before, so it is a loop."""
-    return F.pandas_udf(_pieces, "array<string>")(X.table_rows_apart(text) if rows_apart else text, F.lit(limit))
+    return cut_up(X.table_rows_apart(text) if rows_apart else text)
 
 
-def split_items(items: DataFrame, text: str, source: Column, order: list[str], file_name: Column | None = None, extra: Column | None = None, overlap: int = S.OVERLAP_WORDS) -> DataFrame:
+def split_items(items: DataFrame, text: str, source: Column, order: list[str], file_name: Column | None = None, extra: Column | None = None, overlap: int = S.OVERLAP_WORDS, limit: int = S.PIECE_TOKENS, count: Estimate = estimate) -> DataFrame:
     """Flat splitting: media whole, the rest in pieces, ids in order, then the overlap. Gives chunk rows."""
     given = F.lit(None).cast("string") if file_name is None else file_name
     rows = items.select(*order, source.alias("_source"), given.alias("_file"), (F.lit(None).cast("map<string,string>") if extra is None else extra).alias("_extra"), F.posexplode(X.media_segments(F.coalesce(F.col(text), F.lit("")))).alias("_segment", "_s"))
-    parts = F.when(F.col("_media"), F.array("_t")).otherwise(pieces(F.col("_t")))
+    parts = F.when(F.col("_media"), F.array("_t")).otherwise(pieces(F.col("_t"), limit, count=count))
     rows = rows.withColumns({"_t": F.col("_s.segment"), "_media": F.col("_s.is_media")}).withColumn("_parts", parts)
     rows = rows.select(*order, "_source", "_file", "_extra", "_segment", F.posexplode("_parts").alias("_piece", "text"))
     numbered = sequential_ids(rows, "_source", [*order, "_segment", "_piece"])

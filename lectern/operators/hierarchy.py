@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..functions.splitting import split_text
+from ..functions.splitting import Estimate, estimate
 from ..plans import settings as S
-from .chunking import metadata
+from .chunking import metadata, pieces
 from .ordering import sequential_ids
 
 #: Headings of four levels (fixed patterns): parts, roman numbers and lines of capitals; "1." and "A."; "1.1"; "1.1.1" and "a)".
@@ -78,15 +78,10 @@ def hierarchy_blocks(text: Column, patterns: Sequence[str] = HEADINGS) -> Column
     return blocks(text)
 
 
-def split_by_hierarchy(docs: DataFrame, text: str, source: Column, order: list[str], patterns: Sequence[str] = HEADINGS, limit: int = S.PIECE_TOKENS, extra: Column | None = None) -> DataFrame:
+def split_by_hierarchy(docs: DataFrame, text: str, source: Column, order: list[str], patterns: Sequence[str] = HEADINGS, limit: int = S.PIECE_TOKENS, extra: Column | None = None, count: Estimate = estimate) -> DataFrame:
     """Chunk rows "[title > title]\\npiece" with headings, breadcrumb and ids."""
-
-    @F.pandas_udf("array<string>")
-    def pieces(texts: pd.Series) -> pd.Series:
-        return pd.Series([split_text(t, limit) for t in texts])
-
     rows = docs.select(*order, source.alias("_source"), (F.lit(None).cast("map<string,string>") if extra is None else extra).alias("_extra"), F.posexplode(hierarchy_blocks(F.coalesce(F.col(text), F.lit("")), patterns)).alias("_block", "_b"))
-    rows = rows.select(*order, "_source", "_extra", "_block", F.col("_b.titles").alias("_titles"), F.posexplode(pieces(X.table_rows_apart(F.col("_b.body")))).alias("_piece", "_text"))
+    rows = rows.select(*order, "_source", "_extra", "_block", F.col("_b.titles").alias("_titles"), F.posexplode(pieces(F.col("_b.body"), limit, count=count)).alias("_piece", "_text"))
     crumb = F.array_join("_titles", " > ")
     rows = rows.withColumns({"_crumb": crumb, "text": F.when(crumb != "", F.concat(F.lit("["), crumb, F.lit("]\n"), F.col("_text"))).otherwise(F.col("_text"))})
     numbered = sequential_ids(rows, "_source", [*order, "_block", "_piece"])

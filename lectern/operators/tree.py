@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.splitting import batches, estimate, leaf_numbers, repaired_json, split_text
+from ..functions.splitting import Estimate, batches, estimate, leaf_numbers, repaired_json, split_text
 from ..functions.text import TABLE_ROW
 from ..plans import settings as S
 from .hierarchy import HEADINGS
@@ -173,28 +173,28 @@ def build(lines: Sequence[str], levels: dict[int, int], source: str) -> Node:
     return root
 
 
-def put_tables_in(node: Node, tables: dict[str, str]) -> Node:
+def put_tables_in(node: Node, tables: dict[str, str], count: Estimate = estimate) -> Node:
     """Leaves with their <tab>id</tab> marks replaced (unknown ids stay) and cut if longer than CUT_TOKENS; pieces become siblings."""
 
     def leaves_of(leaf: Node) -> list[Node]:
         text = re.sub(r"<tab>(\w+)</tab>", lambda m: tables.get(m[1], m[0]), leaf.content)
-        if estimate(text) <= S.CUT_TOKENS:
+        if count(text) <= S.CUT_TOKENS:
             return [Node(text)]
-        return [Node(p) for p in split_text(re.sub(TABLE_ROW, r"\n\1", text))] or [Node(text)]
+        return [Node(p) for p in split_text(re.sub(TABLE_ROW, r"\n\1", text), count=count)] or [Node(text)]
 
     if node.is_leaf:
         found = leaves_of(node)
         return found[0] if len(found) == 1 else Node("", found)
     below = []
     for child in node.children:
-        below += leaves_of(child) if child.is_leaf else [put_tables_in(child, tables)]
+        below += leaves_of(child) if child.is_leaf else [put_tables_in(child, tables, count)]
     return Node(node.content, below)
 
 
-def merge_parents(node: Node, is_root: bool = True) -> Node:
+def merge_parents(node: Node, is_root: bool = True, count: Estimate = estimate) -> Node:
     """A node below the root whose children are leaves becomes a leaf with them if all is small enough; from the bottom up."""
-    below = [merge_parents(c, False) for c in node.children]
-    if below and not is_root and all(c.is_leaf for c in below) and estimate(node.content) + sum(estimate(c.content) for c in below) <= S.PARENT_TOKENS:
+    below = [merge_parents(c, False, count) for c in node.children]
+    if below and not is_root and all(c.is_leaf for c in below) and count(node.content) + sum(count(c.content) for c in below) <= S.PARENT_TOKENS:
         text = node.content
         for c in below:
             text = _joined(text, c.content)
@@ -202,21 +202,21 @@ def merge_parents(node: Node, is_root: bool = True) -> Node:
     return Node(node.content, below)
 
 
-def merge_siblings(node: Node) -> Node:
+def merge_siblings(node: Node, count: Estimate = estimate) -> Node:
     """Neighbouring leaves become one while their tokens sum to less than SIBLING_TOKENS; a node with children parts them."""
     below: list[Node] = []
-    for child in map(merge_siblings, node.children):
-        if below and child.is_leaf and below[-1].is_leaf and estimate(below[-1].content) + estimate(child.content) < S.SIBLING_TOKENS:
+    for child in (merge_siblings(c, count) for c in node.children):
+        if below and child.is_leaf and below[-1].is_leaf and count(below[-1].content) + count(child.content) < S.SIBLING_TOKENS:
             below[-1] = Node(_joined(below[-1].content, child.content))
         else:
             below.append(child)
     return Node(node.content, below)
 
 
-def merge_headers(node: Node, is_root: bool = True) -> Node:
+def merge_headers(node: Node, is_root: bool = True, count: Estimate = estimate) -> Node:
     """A short node below the root whose only child has children goes into that child's title."""
-    below = [merge_headers(c, False) for c in node.children]
-    if not is_root and len(below) == 1 and not below[0].is_leaf and estimate(node.content) <= S.HEADER_TOKENS:
+    below = [merge_headers(c, False, count) for c in node.children]
+    if not is_root and len(below) == 1 and not below[0].is_leaf and count(node.content) <= S.HEADER_TOKENS:
         return Node(_joined(node.content, below[0].content), below[0].children)
     return Node(node.content, below)
 
@@ -227,12 +227,12 @@ def with_leaves(node: Node) -> Node:
     return Node(node.content, [Node(""), *below] if below and not any(c.is_leaf for c in below) else below)
 
 
-def process(root: Node) -> Node:
+def process(root: Node, count: Estimate = estimate) -> Node:
     """Parents and siblings are merged until nothing changes, then headers, then leaves are put in."""
     while True:
-        merged = merge_siblings(merge_parents(root))
+        merged = merge_siblings(merge_parents(root, count=count), count)
         if merged == root:
-            return with_leaves(merge_headers(merged))
+            return with_leaves(merge_headers(merged, count=count))
         root = merged
 
 
@@ -256,8 +256,8 @@ def node_rows(root: Node, document_id: str) -> tuple[list[tuple], list[tuple]]:
     return nodes, links
 
 
-def document_tree(lines: Sequence[str], levels: dict[int, int], source: str, tables: dict[str, str] | None = None) -> Node:
-    return process(put_tables_in(build(lines, levels, source), tables or {}))
+def document_tree(lines: Sequence[str], levels: dict[int, int], source: str, tables: dict[str, str] | None = None, count: Estimate = estimate) -> Node:
+    return process(put_tables_in(build(lines, levels, source), tables or {}, count), count)
 
 
 # ---------------------------------------------------------------- over a DataFrame
@@ -265,7 +265,7 @@ def document_tree(lines: Sequence[str], levels: dict[int, int], source: str, tab
 _CHUNKS = "source string, leaf int, breadcrumb string, content string"
 
 
-def chunk_documents(documents: DataFrame, detector: Detector | None = None) -> DataFrame:
+def chunk_documents(documents: DataFrame, detector: Detector | None = None, count: Estimate = estimate) -> DataFrame:
     """source, leaf, breadcrumb, content of documents (source, lines array<string>, tables map<string,string>).
 
     Trees are worked out document by document, many in each Arrow batch; a document without lines gives nothing.
@@ -278,7 +278,7 @@ def chunk_documents(documents: DataFrame, detector: Detector | None = None) -> D
             for source, lines, tables in zip(part["source"], part["lines"], part["tables"], strict=True):
                 lines = [] if lines is None else list(lines)
                 if lines:
-                    root = document_tree(lines, detect(lines), source, dict(tables) if tables else {})
+                    root = document_tree(lines, detect(lines), source, dict(tables) if tables else {}, count)
                     out += [(source, i, crumb, text) for i, (crumb, text) in enumerate(leaf_rows(root))]
             yield pd.DataFrame(out, columns=["source", "leaf", "breadcrumb", "content"])
 

@@ -283,6 +283,10 @@ ORACLES = {
     "document_listing": "SELECT lpad(CAST(doc_id AS VARCHAR), 8, '0') AS id, source AS bot_id, md5(text) AS name FROM documents WHERE source = 'src3' ORDER BY name, id LIMIT 50",
     "document_half": "SELECT id, name FROM (SELECT lpad(CAST(doc_id AS VARCHAR), 8, '0') AS id, md5(text) AS name, row_number() OVER (ORDER BY md5(text), doc_id) AS k, count(*) OVER () AS n FROM documents) WHERE k <= n // 2",
     "idempotent_append": "SELECT c_custkey, CASE WHEN c_custkey % 2 = 1 THEN 'held' ELSE c_name END AS c_name, c_nationkey FROM customer",
+    "store_links": f"WITH {_TREE} SELECT parent_id, child_id, order_index FROM links WHERE child_id NOT LIKE 'o%'",
+    "store_index": f"SELECT 'n' || doc_id AS id, CAST(doc_id AS VARCHAR) AS document_id, source AS bot_id, CAST(len(w) AS INT) AS n_words, md5(array_to_string(list_sort(w), ' ')) AS tsv_md5 FROM (SELECT *, {_TOKENS.format('text')} AS w FROM documents)",
+    "stable_ids": "SELECT doc_id, sha256(source || chr(1) || doc_id) AS id FROM documents",
+    "token_calibration": f"SELECT count(*) AS n, round(avg(d), 6) AS mean_difference, CAST(max(d) AS INT) AS most_under FROM (SELECT CAST(length(text) // 3 AS INT) - ({_EST.format('text')} + 50) AS d FROM documents)",
     "conditional_tsv": f"SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN doc_id % 5 = 0 THEN 'held' WHEN doc_id % 3 <> 0 THEN array_to_string(list_sort({_TOKENS.format('text')}), ' ') END AS tsv FROM documents",
     "vector_topk": f"WITH q AS (SELECT CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id = 0) SELECT vec_id, label, {_DISTANCE} AS distance FROM embeddings, q ORDER BY distance, vec_id LIMIT 10",
     "vector_topk_filtered": f"WITH q AS (SELECT CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id = 0) SELECT vec_id, label, {_DISTANCE} AS distance FROM embeddings, q WHERE label IN (3, 4, 5) ORDER BY distance, vec_id LIMIT 10",

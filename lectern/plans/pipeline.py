@@ -1,7 +1,7 @@
 """Whole runs: documents to chunks, chunks to a retrieval and a question-answering dataset, with what failed beside them.
 
-Each stage that asks the model is written before and after, so a run that is broken off or a task that is run again does not ask
-twice, and no result is rewritten for each question.
+Each stage that asks the model is written before and after, so what reads its replies does not ask again, and no result is rewritten for
+each question. With a folder of its own a run that was broken off goes on with the first stage that is not written to its end.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from ..functions import text as X
 from ..operators import answers, labels, model, questions, retrieval, tree
 from ..operators.chunking import metadata
 from ..operators.ordering import sequential_ids
-from ..sources.scratch import cut
+from ..sources import scratch
 from . import settings as S
 
 
@@ -47,11 +47,14 @@ class Datasets:
     failed: DataFrame
 
 
-def generate(chunks: DataFrame, chat: model.Chat, base: int = S.PREFILTER, most: int = S.PREFILTER_MOST, partitions: int | None = None) -> Datasets:
+def generate(chunks: DataFrame, chat: model.Chat, base: int = S.PREFILTER, most: int = S.PREFILTER_MOST, partitions: int | None = None, folder: str | None = None) -> Datasets:
     """Questions for every chunk, candidates, labels and an answer for every question.
 
+    folder: a folder of the run's own, in which its stages stay; a run with the same folder goes on where the one before was broken off.
+
     chunks: chunk_id, text, metadata. A chunk or a question whose stage fails is a row of `failed`, and the rest goes on.
     """
+    cut = scratch.cut if folder is None else scratch.kept(folder)
     flat = cut(chunks.select("chunk_id", "text", F.col("metadata.source").alias("source"), F.col("metadata.file_name").alias("file_name"), F.col("metadata.document_id").alias("document_id")), "chunks")
 
     # questions
@@ -70,7 +73,7 @@ def generate(chunks: DataFrame, chat: model.Chat, base: int = S.PREFILTER, most:
     first = cut(retrieval.prefilter(items, placed, "question_id", "question", "chunk_id", "position", limit=limit).drop("score"), "candidates")
     wide = items.where((F.col("type") == "table") | deep).select("question_id")
     widened = retrieval.neighbours(first.join(wide, "question_id", "left_semi"), placed, "question_id", "chunk_id", "position", "source", cap=most)
-    found = cut(first.join(wide, "question_id", "left_anti").withColumn("is_neighbour", F.lit(False)).unionByName(widened), "candidates")
+    found = cut(first.join(wide, "question_id", "left_anti").withColumn("is_neighbour", F.lit(False)).unionByName(widened), "widened")
     rows = found.join(flat.select("chunk_id", "text"), "chunk_id").join(items.select("question_id", "question", F.when(deep, 2 * S.SNIPPET_WORDS).otherwise(S.SNIPPET_WORDS).alias("words")), "question_id")
     prompts = cut(retrieval.budgeted_prompts(rows, "question_id", "question", "text", "rank", F.col("words")), "candidate-prompts")
     picked = cut(model.ask(prompts, "question_id", chat, short_prompt="short_prompt", partitions=partitions), "candidate-replies")

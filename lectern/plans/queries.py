@@ -6,6 +6,8 @@ questions, labels for graded chunks, embeddings for leaf vectors, and region, na
 
 from __future__ import annotations
 
+import uuid
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ from ..operators import ancestors as A
 from ..operators import answers, hierarchy, labels, model, ordering, questions, retrieval, tree, vectors
 from ..operators import chunking as C
 from ..sources import readers, store
-from ..sources.scratch import cut
+from ..sources.scratch import cut, folder
 from . import pipeline
 from . import settings as S
 
@@ -221,6 +223,39 @@ def idempotent_append(spark, sf_dir):
     return held.unionByName(store.insert_absent(held, new.unionByName(new), ["c_custkey"]))
 
 
+def store_links(spark, sf_dir):
+    """Links of nations and customers put into a store twice, in two batches that overlap."""
+    _, links = _tree_tables(spark, sf_dir)
+    held = store.Store(spark, f"{folder(spark)}/lectern-store-{uuid.uuid4().hex}").create()
+    for kind in ("n%", "c%", "n%", "%"):
+        held.add("links", links.where(F.col("child_id").like(kind) & ~F.col("child_id").like("o%")))
+    return held.read("links")
+
+
+def store_index(spark, sf_dir):
+    """Documents as nodes of one document each, indexed twice: nothing is held twice, and every node has its words."""
+    docs = t(spark, sf_dir, "documents")
+    key = F.col("doc_id").cast("string")
+    documents = docs.select(key.alias("id"), F.col("source").alias("bot_id"), F.md5("text").alias("name"), F.lit(True).alias("active"))
+    nodes = docs.select(F.concat(F.lit("n"), key).alias("id"), key.alias("document_id"), F.col("text").alias("content"), F.lit(None).cast("array<float>").alias("embedding"), F.lit(None).cast("array<string>").alias("tsv"))
+    links = docs.select(F.concat(F.lit("n"), key).alias("parent_id"), F.concat(F.lit("n"), (F.col("doc_id") + 1).cast("string")).alias("child_id"), F.lit(0).alias("order_index"))
+    held = store.Store(spark, f"{folder(spark)}/lectern-store-{uuid.uuid4().hex}").create()
+    for _ in range(2):
+        held.index(documents, nodes, links)
+    rows = held.read("nodes").join(held.read("documents").withColumnRenamed("id", "document_id"), "document_id")
+    return rows.select("id", "document_id", "bot_id", F.size("tsv").alias("n_words"), F.md5(F.array_join("tsv", " ")).alias("tsv_md5"))
+
+
+def stable_ids(spark, sf_dir):
+    return t(spark, sf_dir, "documents").select("doc_id", X.stable_id(F.col("source"), F.col("doc_id")).alias("id"))
+
+
+def token_calibration(spark, sf_dir):
+    """The estimate against counts that a model might have given: a token for every three characters."""
+    asked = t(spark, sf_dir, "documents").select("text", F.floor(F.length("text") / 3).cast("int").alias("real"))
+    return model.calibration(asked, "text", "real").select("n", F.round("mean_difference", 6).alias("mean_difference"), "most_under")
+
+
 def conditional_tsv(spark, sf_dir):
     """Every third document is a parent without a vector, every fifth has its words already."""
     docs = t(spark, sf_dir, "documents")
@@ -505,7 +540,7 @@ QUERIES = {
     for f in (
         token_estimate, payload_budget, group_pages, text_to_lines, page_lines, source_file_name, sequential_ids, table_rows_apart, tla_split, media_blocks,
         split_items, overlap_tail, documents_overlap, hierarchical_split, heading_depth, section_breadcrumb, leaf_pack, heading_batches, rule_headings, tree_process,
-        chunk_pages, docx_tables, ancestors_path, leaf_nodes, document_listing, document_half, idempotent_append, conditional_tsv, vector_topk, vector_topk_filtered,
+        chunk_pages, docx_tables, ancestors_path, leaf_nodes, document_listing, document_half, idempotent_append, store_links, store_index, stable_ids, token_calibration, conditional_tsv, vector_topk, vector_topk_filtered,
         vector_topk_path, store_chunks, idf_index, proper_noun_phrases, score_topk, phrase_bonus, candidate_limits, neighbour_expand, snippet, candidate_prompt,
         budget_fit, map_local_ids, related_chunks, related_prompt, question_validation, label_parse, table_neighbour_labels, sorted_labels, enrich_labels, answer_parse,
         outer_braces, truncated_json, props_json, retrieval_dataset, qa_dataset, failed_items, failing_model,

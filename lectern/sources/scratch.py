@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,3 +23,19 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     path = f"{folder(df.sparkSession)}/lectern-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def kept(path: str) -> Callable[[DataFrame, str], DataFrame]:
+    """`cut` for a run that may be broken off: what stands in the folder `path` under a label, written to its end, is read and not made again.
+
+    Of what was written partly nothing is used. Another input needs another folder.
+    """
+
+    def cut_once(df: DataFrame, label: str) -> DataFrame:
+        spark, place = df.sparkSession, f"{path.rstrip('/')}/{label}"
+        done = spark._jvm.org.apache.hadoop.fs.Path(f"{place}/_SUCCESS")
+        if not done.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(done):
+            df.write.mode("overwrite").parquet(place)
+        return spark.read.schema(df.schema).parquet(place)
+
+    return cut_once

@@ -138,3 +138,8 @@ def search(query: Column, documents: DataFrame, nodes: DataFrame, links: DataFra
     # top_k rows
     ranked = rows.withColumn("chunk_id", F.row_number().over(Window.orderBy(F.asc_nulls_last("distance"), "leaf_id")) - 1)
     return ranked.select(F.col("chunk_id").cast("long").alias("chunk_id"), "text", metadata(source=F.col("source"), breadcrumb=F.col("breadcrumb"), node_id=F.col("leaf_id"), document_id=F.col("document_id"), distance=F.col("distance")).alias("metadata"))
+
+
+def search_text(text: str, embed: Callable[[list[str]], list[list[float]]], documents: DataFrame, nodes: DataFrame, links: DataFrame, top_k: int = S.TOP_K, bot_id: str | None = None, joint: str = " ") -> DataFrame:
+    """`search` for the vector that the embedding model gives a text."""
+    return search(vectors.vector(embed([text])[0]), documents, nodes, links, top_k, bot_id, joint)

@@ -79,9 +79,36 @@ def test_budget():
 
 
 def test_local_ids(spark):
-    rows = spark.createDataFrame([(0, 'x {"candidate_chunks":[1,1,99,"a",0]} y', [7, 8]), (1, "none", [7]), (2, '{"candidate_chunks": []}', [7])], "k int, reply string, used array<long>")
+    rows = spark.createDataFrame([(0, 'x {"candidate_chunks":[1,1,99,"a",0]} y', [7, 8]), (1, "none", [7]), (2, '{"candidate_chunks": []}', [7]), (3, '{"candidate_chunks": ["1", 0, 1.0, true, null, [1], 2e0, 99999999999]}', [7, 8, 9]), (4, '{"candidate_chunks": {"0": 1}}', [7])], "k int, reply string, used array<long>")
     got = {r.k: r.ids for r in rows.select("k", retrieval.real_ids(retrieval.local_ids(F.col("reply")), F.col("used")).alias("ids")).collect()}
-    assert got[0] == [8, 7] and not got[1] and got[2] == []
+    assert got[0] == [8, 7] and not got[1] and got[2] == [] and not got[4]
+    assert got[3] == [7, 8]  # no quoted numbers, no fractions; true is 1
+
+
+def test_scores_by_scan_and_by_joins_are_alike(spark, monkeypatch):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abé") for _ in range(rng.randint(1, 4)))
+    texts = [" ".join(word() for _ in range(rng.randint(0, 40))) for _ in range(60)] + ["Hà Nội aaa", "hà nội aaaa", None, ""]
+    asked = [" ".join(word() for _ in range(rng.randint(0, 6))) for _ in range(25)] + ["Where is Hà Nội aa", "", None]
+    chunks = spark.createDataFrame(list(enumerate(texts)), "c int, text string").repartition(3)
+    questions = spark.createDataFrame(list(enumerate(asked)), "q long, question string")
+    found = lambda most: {(r.q, r.c): r.score for r in retrieval.scores(questions, chunks, "q", "question", "c", most=most).collect()}
+    whole, best = found(None), found(3)
+    monkeypatch.setattr(retrieval, "SCANNED", 0)
+    joined = found(None)
+    assert whole.keys() == joined.keys() and all(abs(whole[k] - joined[k]) < 1e-5 for k in whole)
+    assert len(whole) > 500 and whole[25, 60] > 50 and whole[25, 61] > 50
+    for q in range(len(asked)):
+        top = sorted((s for (k, _), s in whole.items() if k == q), reverse=True)[:3]
+        assert sorted((s for (k, _), s in best.items() if k == q), reverse=True)[:3] == top
+
+
+def test_a_counter_of_ones_own(spark):
+    rows = spark.createDataFrame([(0, "a b c d e f")], "k int, text string")
+    words = lambda t: len(t.split())
+    assert rows.select(chunking.pieces(F.col("text"), 2, count=words).alias("p")).first().p == ["a b", "c d", "e f"]
+    got = chunking.split_items(rows, "text", F.lit("s"), ["k"], overlap=0, limit=4, count=words)
+    assert [r.text for r in got.orderBy("chunk_id").collect()] == ["a b c d", "e f"]
 
 
 def test_limits(spark):

@@ -172,6 +172,47 @@ def test_whole_run(spark):
     assert refused.retrieval.count() == 0 and {r.stage for r in refused.failed.collect()} == {"generate_questions"} and refused.failed.count() == 24
 
 
+def test_a_broken_run_goes_on(spark, tmp_path):
+    from lectern.operators.chunking import metadata
+    from lectern.plans.queries import stand_in
+
+    log = tmp_path / "log"
+    rows = [(i, f"chunk {i} of the river and the stone number {i % 3}") for i in range(8)]
+    chunks = spark.createDataFrame(rows, "chunk_id long, text string").withColumn("metadata", metadata(source=F.lit("in/a")))
+
+    def chat(prompt):
+        with open(log, "a") as out:
+            out.write(prompt[:5] + "\n")
+        if prompt.startswith("Grade") and not (tmp_path / "up").exists():
+            import os
+
+            os.kill(os.getpid(), 9)
+        return stand_in(prompt)
+
+    whole = pipeline.generate(chunks, stand_in).qa.orderBy("question_id").collect()
+    with pytest.raises(Exception):  # noqa: B017, PT011
+        pipeline.generate(chunks, chat, folder=str(tmp_path / "run")).qa.count()
+    (tmp_path / "up").touch()
+    before = log.read_text().split().count("Write")
+    assert pipeline.generate(chunks, chat, folder=str(tmp_path / "run")).qa.orderBy("question_id").collect() == whole
+    said = log.read_text().split()
+    assert said.count("Write") == before == 8  # nothing that was answered is asked again
+    again = pipeline.generate(chunks, chat, folder=str(tmp_path / "run"))
+    assert again.qa.count() == len(whole) and log.read_text().split() == said
+
+
+def test_calibration(spark):
+    rows = spark.createDataFrame([("abcd" * 11, 90), ("", 40)], "p string, n int")
+    assert tuple(model.calibration(rows, "p", "n").first()) == (2, (90 - 71 + 40 - 50) / 2, 19)
+
+
+def test_search_by_text(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(store, "search", lambda query, *rest: (asked.append(spark.range(1).select(query).first()[0]), rest)[1])
+    assert store.search_text("q", lambda texts: [[1.0, 2.0] for _ in texts], "d", "n", "l", 3, "b") == ("d", "n", "l", 3, "b", " ")
+    assert asked == [[1.0, 2.0]]
+
+
 def test_stream(spark, tmp_path):
     from lectern.streaming.files import stream_chunks
 
