@@ -18,7 +18,7 @@ from ..operators import ancestors as A
 from ..operators import answers, hierarchy, labels, model, ordering, questions, retrieval, tree, vectors
 from ..operators import chunking as C
 from ..sources import readers, store
-from ..sources.scratch import cut, folder
+from ..sources.scratch import cut, own_folder
 from . import pipeline
 from . import settings as S
 
@@ -226,7 +226,7 @@ def idempotent_append(spark, sf_dir):
 def store_links(spark, sf_dir):
     """Links of nations and customers put into a store twice, in two batches that overlap."""
     _, links = _tree_tables(spark, sf_dir)
-    held = store.Store(spark, f"{folder(spark)}/lectern-store-{uuid.uuid4().hex}").create()
+    held = store.Store(spark, f"{own_folder(spark)}/store-{uuid.uuid4().hex}").create()
     for kind in ("n%", "c%", "n%", "%"):
         held.add("links", links.where(F.col("child_id").like(kind) & ~F.col("child_id").like("o%")))
     return held.read("links")
@@ -239,7 +239,7 @@ def store_index(spark, sf_dir):
     documents = docs.select(key.alias("id"), F.col("source").alias("bot_id"), F.md5("text").alias("name"), F.lit(True).alias("active"))
     nodes = docs.select(F.concat(F.lit("n"), key).alias("id"), key.alias("document_id"), F.col("text").alias("content"), F.lit(None).cast("array<float>").alias("embedding"), F.lit(None).cast("array<string>").alias("tsv"))
     links = docs.select(F.concat(F.lit("n"), key).alias("parent_id"), F.concat(F.lit("n"), (F.col("doc_id") + 1).cast("string")).alias("child_id"), F.lit(0).alias("order_index"))
-    held = store.Store(spark, f"{folder(spark)}/lectern-store-{uuid.uuid4().hex}").create()
+    held = store.Store(spark, f"{own_folder(spark)}/store-{uuid.uuid4().hex}").create()
     for _ in range(2):
         held.index(documents, nodes, links)
     rows = held.read("nodes").join(held.read("documents").withColumnRenamed("id", "document_id"), "document_id")

@@ -1,5 +1,6 @@
 import io
 import json
+import random
 import zipfile
 
 import pytest
@@ -45,6 +46,25 @@ def test_related(spark):
     assert pair.select(questions.overlap_score(F.col("text"), F.col("other"))).first()[0] == 2
 
 
+def test_best_elsewhere_is_the_same_in_both_ways(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(i, 500 - i, rng.choice(["a", "b", "c", "", None]), " ".join(f"word{int(rng.random() ** 2 * 60)}" for _ in range(rng.randint(0, 25)))) for i in range(150)]
+    chunks = spark.createDataFrame(rows, "id long, pos long, source string, text string").repartition(3)
+    words = {i: set(t.split()) for i, _, _, t in rows}
+    want = {}
+    for i, _, s, _ in rows:
+        others = [(len(words[i] & words[j]), -p, j) for j, p, z, _ in rows if j != i and not (s and s == z)]
+        n, _, j = max(others)
+        if n:
+            want[i] = (j, n)
+    found = lambda: {r.id: (r.other_id, r.overlap) for r in questions.best_elsewhere(chunks, "id", "pos", "source").collect()}
+    assert found() == want
+    monkeypatch.setattr(questions, "BLOCK_CHUNKS", 40)
+    assert found() == want
+    monkeypatch.setattr(questions, "BLOCKED_CHUNKS", 0)
+    assert found() == want
+
+
 def test_label_replies():
     assert labels.label_items("chunk_id: 3, relevance: 2; chunk_id: 5, relevance: 1") == [(3, 2), (5, 1)]
     assert labels.label_items('{"results":[{"chunk_id":"Chunk 2","relevance":3},{"chunk_id":"x","relevance":3},{"chunk_id":4,"relevance":0},{"relevance":"1"}]}') == [(2, 3), (None, 1)]
