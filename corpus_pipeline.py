@@ -3,6 +3,13 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the docs of the next.
 All but the last return the columns of documents. Rows that the first two reject go; of equal texts, and of each component of near
 copies, one document stays; the last stage packs what is left.
+
+Every stage judges each row by its own id and text and never drops a row for another one's sake: an id with two texts is two documents.
+Defined results: a null or empty text fails the base rules, so it goes in the first stage; a stage that meets one all the same counts it as
+empty. Rows without an id pass all filters; of equal ones one stays where no copy has an id, and they are near copies of nothing. Repeated
+rows (one id, equal text) become one in the third stage. Of equal texts that of the smallest id stays, of a component its smallest id.
+Very long texts are read whole. Columns of any name are carried along as they are, other columns of the names that stages use inside
+included. Empty tables give no rows; without labels no document is kept for its score or rejected for it, but by the base rules alone.
 """
 
 from __future__ import annotations
