@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import contextlib
-import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.readers import spread
-from ..sources.scratch import folder
+from ..sources.scratch import cut
 
 #: White space of the contracts: space, tab, line feed, vertical tab, form feed, carriage return.
 WHITE = r"[\x20\x09-\x0D]+"
@@ -39,12 +38,29 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Writes df to the shared folder and reads it back: lineage ends there, and a lost executor takes nothing with it."""
-    spark = df.sparkSession
-    path = f"{folder(spark)}/lectern-{label}-{uuid.uuid4().hex}"
-    with small_batches(spark):
-        df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """df, written to the shared folder and read back: lineage ends there, and a lost executor takes nothing with it."""
+    with small_batches(df.sparkSession):
+        return cut(df, label)
+
+
+@contextlib.contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """What runs inside drops its shuffle files when it ends, not when the driver happens to collect its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def delete(written: DataFrame) -> None:
+    """Deletes the folder that `written` was read from, once all that reads it is written itself."""
+    jvm = written.sparkSession._jvm
+    for place in {f.rpartition("/")[0] for f in written.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(place)
+        path.getFileSystem(written.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *carry: str) -> DataFrame:

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_and_text, in_slices, materialise
+from .common import delete, freed_shuffles, id_and_text, in_slices, materialise
 from .components import components
 
 WIDTH = 5
@@ -328,8 +328,7 @@ def _summed(partners: DataFrame) -> DataFrame:
 
 
 def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """u, v of the pairs (a, b) of ids whose whole sets are similar enough."""
-    pairs = materialise(pairs, "pairs")
+    """u, v of the pairs (a, b) of ids, a written table, whose whole sets are similar enough."""
     ids = materialise(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
     n_ids = ids.count()
     docs = docs.where("doc_id IS NOT NULL")
@@ -392,30 +391,36 @@ def _signed(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", list_rows: int = LIST_ROWS) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id."""
-    spark, docs = docs.sparkSession, id_and_text(docs, id_col, text_col)
+    with freed_shuffles(docs.sparkSession):
+        sets, named = _components(id_and_text(docs, id_col, text_col), list_rows)
+    out = sets.join(named, "sig", "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+
+
+def _components(docs: DataFrame, list_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The sets (doc_id, n, sig), and the component of each signature. What was written is deleted where nothing reads it any more."""
     found, rows, salt = _signed(docs)
     sets = found.where("block IS NULL").select("doc_id", "n", "sig")
     named = rows.select("sig", "node")
     kept = rows.agg(F.sum(F.col("n") - F.floor((4 * F.col("n") + 4) / 5) + 1)).first()[0] or 0
-    buckets = max(8 * int(spark.conf.get("spark.sql.shuffle.partitions")), kept // BUCKET_ENTRIES)
+    buckets = max(8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), kept // BUCKET_ENTRIES)
     lists = materialise(_lists(_entries(docs.where("doc_id IS NOT NULL"), _sketch(found), list_rows, buckets, salt)), "lists")
 
     stars = lists.where("h IS NULL").groupBy("sig", "leader").agg(F.sum("overlap").alias("overlap"))
     # the leaders of one row: as many as it has entries at most
     stars = stars.withColumn("k", F.row_number().over(Window.partitionBy("sig").orderBy(F.desc("overlap"), "leader"))).where(F.col("k") <= STAR_PAIRS)
     stars = stars.join(named, "sig").withColumnRenamed("node", "a").join(named.select(F.col("sig").alias("leader"), F.col("node").alias("b")), "leader").select("a", "b")
-    linked = materialise(_verified(docs, stars), "linked")
+    linked = materialise(_verified(docs, materialise(stars, "stars")), "linked")
     near = components(linked)
 
     member = lists.where("h IS NOT NULL").select("h", "cell", "sig", "n").join(rows.select("sig", "node", "bits"), "sig").join(near, "node", "left")
     member = materialise(member.select("h", "cell", "node", "n", F.coalesce("component", "node").alias("component"), "bits"), "members")
+    delete(lists)
     mixed = member.groupBy("h", "cell").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("h", "cell")
-    apart = _summed(_partners(member.join(mixed, ["h", "cell"], "left_semi")))
+    apart = materialise(_summed(_partners(member.join(mixed, ["h", "cell"], "left_semi"))), "apart")
+    delete(member)
     final = materialise(components(linked.unionByName(_verified(docs, apart))), "components")
-
-    named = materialise(named.join(final, "node", "left").select("sig", F.coalesce("component", "node").alias("component")), "named")
-    out = sets.join(named, "sig", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    return sets, materialise(named.join(final, "node", "left").select("sig", F.coalesce("component", "node").alias("component")), "named")
 
 
 def keep_one_each(docs: DataFrame) -> DataFrame:

@@ -22,7 +22,6 @@ empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import contextlib
 import hashlib
 import re
 from collections import Counter
@@ -30,10 +29,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, materialise, small_batches
+from .common import delete, freed_shuffles, id_and_text, materialise, small_batches
 
 MASS = 20.0
 CHUNK_TOKENS = 1 << 18
@@ -278,26 +277,6 @@ def corpus_counts(marked: DataFrame, buckets: int) -> DataFrame:
     return dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(total, "chunk long, bucket int, background binary, target binary")
 
 
-@contextlib.contextmanager
-def _freed_shuffles(spark: SparkSession) -> Iterator[None]:
-    """What runs inside drops its shuffle files when it ends, not when the driver happens to collect its garbage."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
-def _delete(written: DataFrame) -> None:
-    """Deletes the folder that `written` was read from."""
-    jvm = written.sparkSession._jvm
-    for folder in {f.rpartition("/")[0] for f in written.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(written.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
-
-
 def _loss(pair: np.ndarray, first: np.ndarray, second: np.ndarray, events: np.ndarray | int, size: int, mass: float) -> np.ndarray:
     """-log2 P(w | v) from c(v, w), c(v), c(w), N and V."""
     return -np.log2((pair + mass * (second + 1) / (events + size)) / (first + mass))
@@ -333,10 +312,10 @@ def lm_scoring(docs: DataFrame, labels: DataFrame, vocabulary: int | None = None
             near = of("target", target, marked) if target else back
             yield pa.RecordBatch.from_arrays([pa.array(own["doc_ids"], pa.int64()), pa.array(chunk.lengths - 1), pa.array(near), pa.array(back), pa.array(near - back)], ["doc_id", "n_tokens", "ce_target", "ce_background", "ce_difference"])
 
-    with small_batches(docs.sparkSession, BATCH_ROWS), _freed_shuffles(docs.sparkSession):
+    with small_batches(docs.sparkSession, BATCH_ROWS), freed_shuffles(docs.sparkSession):
         size = count_events(chunks, buckets) if vocabulary is None else vocabulary
         marked = materialise(chunks.join(marks.select("chunk", "marks").hint("merge"), "chunk", "left"), "marked")
-        _delete(chunks)  # all of it stands in marked
+        delete(chunks)  # all of it stands in marked
         sums = materialise(corpus_counts(marked, buckets), "sums")
         # a chunk stands before its sums, which come by bucket
         whole = marked.withColumn("bucket", F.lit(-1)).unionByName(sums, allowMissingColumns=True).repartition("chunk").sortWithinPartitions("chunk", "bucket")

@@ -31,3 +31,22 @@ def test_stages_drop_what_they_should(spark, tmp_path):
     assert 1003 not in seen[3] and seen[3] == clean == seen[4]
     whole = corpus_pipeline.run(spark, str(tmp_path))
     assert sorted(map(tuple, whole.select("doc_id", "piece", "length", "ids_crc32").collect())) == sorted(map(tuple, now.select("doc_id", "piece", "length", "ids_crc32").collect()))
+
+
+def test_odd_tables(spark, odd_docs, empty_docs, no_labels, tmp_path):
+    text = lambda i: " ".join(f"word{i}x{k}" for k in range(70))
+    schema = "doc_id long, text string, key long, bucket string, slot string, row string, norm string, score string"
+    rows = [(1, text(1)), (2, text(1)), (2, text(2)), (2, text(2).replace(" ", "  ", 3)), (3, text(3)), (3, text(3)), (None, text(1)), (None, text(4)), (5, None), (6, ""), (7, text(7) + " end"), (8, text(7)), (9, " ".join(f"word9x{k}" for k in range(60_000)))]
+    docs = spark.createDataFrame([(i, t, 1, "b", None, "r", "n", "s") for i, t in rows], schema)
+    for k, (now, want) in enumerate(((docs, [(1, 1), (2, 2), (3, 3), (7, 7), (9, 9), (None, 4)]), (docs.limit(0), []))):
+        path = tmp_path / str(k)
+        now.write.parquet(str(path / "documents.parquet"))
+        no_labels.write.parquet(str(path / "labels.parquet"))
+        kept = spark.read.parquet(str(path / "documents.parquet"))
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            kept = stage(spark, kept, str(path))
+            assert kept.dtypes == docs.dtypes
+        got = [(r.doc_id, int(r.text.split()[0].split("x")[0][4:])) for r in kept.collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
+        packed = corpus_pipeline.run(spark, str(path))
+        assert {r.doc_id for r in packed.collect()} == {i for i, _ in want}
