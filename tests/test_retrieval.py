@@ -35,6 +35,21 @@ def test_scores_match_the_definition(spark):
             assert abs(found.get((q, d), 0.0) - plain_score(question, text, texts)) < 1e-5, (question, text)
 
 
+def test_phrases_that_end_inside_a_word(spark, monkeypatch):
+    """Phrases have no letters but those of PROPER_NOUN, so their longest word may be no word of the question."""
+    texts = ["the foo queci\u00e7\u00e3o", "foo quecix foo", "foo", "bar2 foo b", "", "the foo bar9"]
+    asked = ["see Foo Queci\u00e7\u00e3o", "Foo Bar9", "Foo Queci\u00e7\u00e3o and Foo Bar9"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc long, text string")
+    qs = spark.createDataFrame(list(enumerate(asked)), "q long, question string")
+    want = {(q, d): round(plain_score(question, text, texts), 5) for q, question in enumerate(asked) for d, text in enumerate(texts)}
+    for scanned in (retrieval.SCANNED, 0):
+        monkeypatch.setattr(retrieval, "SCANNED", scanned)
+        for least in (0.0, 50.0):
+            found = {(r.q, r.doc): round(r.score, 5) for r in retrieval.scores(qs, docs, "q", "question", "doc", least=least).collect()}
+            assert found == {k: v for k, v in want.items() if v > 0 and v >= least}
+            assert sum(v >= 50 for v in found.values()) == 6
+
+
 def test_prefilter_branches(spark):
     docs = spark.createDataFrame([(i, i, "apple " * (i % 3)) for i in range(10)], "doc long, position long, text string")
     qs = spark.createDataFrame([(0, "apple"), (1, "pear"), (2, "")], "q long, question string")
