@@ -26,14 +26,20 @@ _BLOCK = "array<struct<titles:array<string>,body:string>>"
 
 
 def find_headings(text: str, pattern: re.Pattern, gap: int = S.HEADING_GAP) -> list[tuple[int, int, str]]:
-    """(start, end, title) of the headings of one level; a match that starts less than `gap` after the last one kept is left out."""
+    """(start, end, title) of the headings of one level; a match that starts less than `gap` after the last one kept is left out.
+
+    A heading is (part of) one line: white space of a pattern does not reach over a line feed, so "A." and the paragraph below it are no heading.
+    """
     kept: list[tuple[int, int, str]] = []
-    for m in pattern.finditer(text):
-        bare = m.group().strip()
-        title = bare.lstrip("#").lstrip() if bare.startswith("#") else bare
-        start = m.start() + m.group().find(bare) if bare else m.start()
-        if title and (not kept or start - kept[-1][0] >= gap):
-            kept.append((start, start + len(bare), title))
+    at = 0
+    for line in text.split("\n"):
+        for m in pattern.finditer(line):
+            bare = m.group().strip()
+            title = bare.lstrip("#").lstrip() if bare.startswith("#") else bare
+            start = at + m.start() + (m.group().find(bare) if bare else 0)
+            if title and (not kept or start - kept[-1][0] >= gap):
+                kept.append((start, start + len(bare), title))
+        at += len(line) + 1
     return kept
 
 

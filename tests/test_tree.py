@@ -114,6 +114,14 @@ def test_hierarchy():
     assert hierarchy.find_headings("# Title", patterns[0]) == []  # the mark alone has no title
 
 
+def test_headings_are_single_lines():
+    import re
+
+    patterns = [re.compile(p, re.MULTILINE) for p in hierarchy.HEADINGS]
+    text = "1. One\nA.\nAnd so on.\n1.1 Sub\n1.\nbeta\nABCD EF\nGH\nABCDEFGH\ngamma"
+    assert hierarchy.split_hierarchy(text, patterns) == [(["1. One"], "A.\nAnd so on."), (["1. One", "1.1 Sub"], "1.\nbeta\nABCD EF\nGH"), (["ABCDEFGH"], "gamma")]
+
+
 def test_chunk_documents(spark):
     rows = [("b", ["1. One", "text", "1.1 Two", "more"], {"t0": "x"}), ("a", [], None), ("c", None, None)]
     docs = spark.createDataFrame(rows, "source string, lines array<string>, tables map<string,string>")
