@@ -65,6 +65,29 @@ def test_best_elsewhere_is_the_same_in_both_ways(spark, monkeypatch):
     assert found() == want
 
 
+def test_best_elsewhere_in_passes_over_blocks(spark, monkeypatch):
+    """With many chunks a block at a time meets all of them: no pair of blocks is exchanged, and blocks, bits and bounds change no result."""
+    rng = random.Random(4)
+    rows = [(i, 500 - i, rng.choice(["a", "b", "c", "", None]), " ".join(f"word{int(rng.random() ** 3 * 400)}" for _ in range(int(rng.random() ** 2 * 90)))) for i in range(240)]
+    rows += [(300 + i, i, "ab"[i % 2], rows[i][3]) for i in range(40)]
+    chunks = spark.createDataFrame(rows, "id long, pos long, source string, text string").repartition(3)
+    words = {i: set(t.split()) for i, _, _, t in rows}
+    want = {}
+    for i, _, s, _ in rows:
+        n, _, j = max((len(words[i] & words[j]), -p, j) for j, p, z, _ in rows if j != i and not (s and s == z))
+        if n:
+            want[i] = (j, n)
+    monkeypatch.setattr(questions, "BLOCKED_CHUNKS", 0)
+    for block, bits in ((1_000_000, 2_048), (1_500, 64), (300, 150)):
+        monkeypatch.setattr(questions, "BLOCK_WORDS", block)
+        monkeypatch.setattr(questions, "BIT_WORDS", bits)
+        best = questions.best_elsewhere(chunks, "id", "pos", "source")
+        found = {r.id: (r.other_id, r.overlap) for r in best.collect()}
+        assert {i: n for i, (_, n) in found.items()} == {i: n for i, (_, n) in want.items()}
+        place = {i: p for i, p, _, _ in rows}
+        assert {i: place[j] for i, (j, _) in found.items()} == {i: place[j] for i, (j, _) in want.items()}
+
+
 def test_label_replies():
     assert labels.label_items("chunk_id: 3, relevance: 2; chunk_id: 5, relevance: 1") == [(3, 2), (5, 1)]
     assert labels.label_items('{"results":[{"chunk_id":"Chunk 2","relevance":3},{"chunk_id":"x","relevance":3},{"chunk_id":4,"relevance":0},{"relevance":"1"}]}') == [(2, 3), (None, 1)]
