@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +18,9 @@ from .ordering import sequential_ids
 METADATA = "struct<source:string,file_name:string,breadcrumb:string,node_id:string,document_id:string,distance:double,headings:array<string>,extra:map<string,string>>"
 CHUNK = f"chunk_id long, text string, metadata {METADATA}"
 
+#: Texts that a loop in Python holds at a time, of the many in an Arrow batch.
+SLICE = 128
+
 
 def metadata(**given: Column) -> Column:
     """The metadata struct; fields that are not given are null."""
@@ -57,9 +60,13 @@ def pieces(text: Column, limit: int = S.PIECE_TOKENS, rows_apart: bool = True, c
     count: the tokens of a text; a tokenizer's own count goes here, as a function that loads it on the worker.
     """
 
-    @F.pandas_udf("array<string>")
-    def cut_up(texts: pd.Series) -> pd.Series:
-        return pd.Series([split_text(t, limit, count=count) for t in texts])
+    kind = pa.list_(pa.string())
+
+    @F.arrow_udf("array<string>")
+    def cut_up(texts: pa.Array) -> pa.Array:
+        # few texts at a time are Python strings
+        made = [pa.array([split_text(t, limit, count=count) for t in texts.slice(k, SLICE).to_pylist()], kind) for k in range(0, len(texts), SLICE)]
+        return pa.concat_arrays(made) if made else pa.array([], kind)
 
     return cut_up(X.table_rows_apart(text) if rows_apart else text)
 
@@ -92,19 +99,21 @@ def apply_overlap(chunks: DataFrame, position: str = "chunk_id", text: str = "te
     rows = rows.join(carried, "_block").withColumns({"_run": F.coalesce("_here", "_carried", F.lit(-1)), "_before": F.coalesce("_prior", "_carried", F.lit(-1))})
     light = rows.select("_run", "_pos", F.col(text).alias("_text"))
 
-    def fold(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run, tail = None, ""
-        for part in parts:
-            out = []
-            for r, pos, value in zip(part["_run"], part["_pos"], part["_text"], strict=True):
-                if r != run:
-                    run, tail = r, ""
-                joined = with_overlap(tail, value)
-                tail = last_words(joined, n_words)
-                out.append((r, pos, joined, tail))
-            yield pd.DataFrame(out, columns=["_run", "_pos", "_joined", "_tail"])
-
-    folded = light.repartition("_run").sortWithinPartitions("_run", "_pos").mapInPandas(fold, "_run long, _pos long, _joined string, _tail string")
+        for batch in batches:
+            for part in (batch.slice(k, SLICE) for k in range(0, batch.num_rows, SLICE)):
+                texts, tails = [], []
+                for r, value in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), strict=True):
+                    if r != run:
+                        run, tail = r, ""
+                    joined = with_overlap(tail, value)
+                    tail = last_words(joined, n_words)
+                    texts.append(joined)
+                    tails.append(tail)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array(tails, pa.string())], ["_run", "_pos", "_joined", "_tail"])
+
+    folded = light.repartition("_run").sortWithinPartitions("_run", "_pos").mapInArrow(fold, "_run long, _pos long, _joined string, _tail string")
     tails = folded.groupBy("_run").agg(F.max_by("_tail", "_pos").alias("_end")).withColumnRenamed("_run", "_r")
     joined = rows.join(folded.drop("_run", "_tail"), "_pos").join(tails, F.col("_before") == F.col("_r"), "left")
     first = F.col("_pos") == F.col("_anchor")

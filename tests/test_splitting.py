@@ -67,3 +67,22 @@ def test_overlap():
     assert P.with_overlap("", "c") == "c"
     assert P.last_words(" ".join(map(str, range(80))), 3) == "77 78 79"
     assert S.Limits().prompt == 60_512
+
+
+def test_loops_hold_few_texts_at_a_time(spark, monkeypatch):
+    """Of an Arrow batch SLICE texts are Python strings at a time, and runs go on from slice to slice."""
+    from pyspark.sql import functions as F
+
+    from lectern.operators import chunking
+
+    monkeypatch.setattr(chunking, "SLICE", 3)
+    texts = [" ".join(f"w{i}x{k}" for k in range(i % 7)) for i in range(40)]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "k long, text string").repartition(2)
+    want, tail = [], ""
+    for t in texts:
+        want.append(P.with_overlap(tail, t))
+        tail = P.last_words(want[-1], 5)
+    got = {r.k: r.text for r in chunking.apply_overlap(frame, "k", "text", n_words=5, block=11).collect()}
+    assert got == dict(enumerate(want))
+    pieces = {r.k: r.p for r in frame.select("k", chunking.pieces(F.col("text"), 4).alias("p")).collect()}
+    assert pieces == {i: P.split_text(t, 4) for i, t in enumerate(texts)}
