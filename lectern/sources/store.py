@@ -35,8 +35,10 @@ def insert_absent(held: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataF
     """The rows of new whose keys are not held, one for each key (the least row): what an insert that ignores conflicts adds."""
     rest = [c for c in new.columns if c not in keys]
     orderable = F.min(F.struct(*[F.to_json(F.struct(c)).alias(f"_{c}") for c in rest], *rest)) if rest else F.min(F.lit(0))
-    one = new.groupBy(*keys).agg(orderable.alias("_row")).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
-    return one.join(held.select(*keys), list(keys), "left_anti").select(new.columns)
+    # what is held is left out first, so that rows are exchanged by their keys once, and only once each
+    absent = new.join(held.select(*keys), list(keys), "left_anti")
+    one = absent.groupBy(*keys).agg(orderable.alias("_row")).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
+    return one.select(new.columns)
 
 
 def with_text_index(nodes: DataFrame, leaves_only: bool = True) -> DataFrame:
@@ -65,11 +67,20 @@ class Store:
         return self.spark.read.schema(TABLES[name][0]).parquet(f"{self.path}/{name}")
 
     def add(self, name: str, rows: DataFrame) -> None:
-        """Insert if absent. What is added is worked out and written aside before the table is touched."""
+        """Insert if absent. What is added is worked out and written aside before the table is touched.
+
+        The keys alone are looked at first: where none is absent nothing is done, and where each row has an absent key of its own all
+        rows are appended as they are, neither exchanged nor written aside; a job that fails leaves nothing in the table.
+        """
         schema, keys = TABLES[name]
         columns = self.spark.createDataFrame([], schema).columns
-        new = cut(insert_absent(self.read(name), rows.select(columns), keys), name)
-        new.write.mode("append").parquet(f"{self.path}/{name}")
+        new = rows.select(columns)
+        every = new.count()
+        absent = new.groupBy(*keys).agg(F.lit(1).alias("one")).join(self.read(name).select(*keys), keys, "left_anti").count()
+        if absent and absent < every:
+            new = cut(insert_absent(self.read(name), new, keys), name)
+        if absent:
+            new.write.mode("append").parquet(f"{self.path}/{name}")
 
     def index(self, documents: DataFrame, nodes: DataFrame, links: DataFrame) -> None:
         """Adds documents, then nodes with their text index, then links; a run that ends half-way is mended by running it again."""

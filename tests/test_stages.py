@@ -88,6 +88,19 @@ def test_best_elsewhere_in_passes_over_blocks(spark, monkeypatch):
         assert {i: place[j] for i, (j, _) in found.items()} == {i: place[j] for i, (j, _) in want.items()}
 
 
+def test_store_exchanges_no_rows_that_are_all_new_or_all_held(spark, tmp_path, monkeypatch):
+    aside = []
+    monkeypatch.setattr(store, "cut", lambda df, label, cut=store.cut: aside.append(label) or cut(df, label))
+    held = store.Store(spark, str(tmp_path)).create()
+    rows = lambda *xs: spark.createDataFrame([(i, "b", n, True) for i, n in xs], store.DOCUMENTS)
+    names = lambda: sorted((r.id, r.name) for r in held.read("documents").collect())
+    held.add("documents", rows(("1", "a"), ("2", "b")))
+    held.add("documents", rows(("1", "x"), ("2", "y"), ("2", "z")))
+    assert names() == [("1", "a"), ("2", "b")] and aside == []
+    held.add("documents", rows(("2", "y"), ("3", "d"), ("3", "c"), ("4", "e")))
+    assert names() == [("1", "a"), ("2", "b"), ("3", "c"), ("4", "e")] and aside == ["documents"]
+
+
 def test_label_replies():
     assert labels.label_items("chunk_id: 3, relevance: 2; chunk_id: 5, relevance: 1") == [(3, 2), (5, 1)]
     assert labels.label_items('{"results":[{"chunk_id":"Chunk 2","relevance":3},{"chunk_id":"x","relevance":3},{"chunk_id":4,"relevance":0},{"relevance":"1"}]}') == [(2, 3), (None, 1)]
