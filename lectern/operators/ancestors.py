@@ -10,18 +10,38 @@ from pyspark.sql import functions as F
 from ..sources.scratch import cut
 
 
+#: Rows of a level that share a node from which on the node counts as hot: its own few rows go to every task, and its leaves stay where they are.
+HOT = 10_000
+
+
+def meet(rows: DataFrame, small: DataFrame, key: str, hot: list) -> DataFrame:
+    """rows joined with small by key. Rows of hot keys are not exchanged, so no task gets all of one."""
+    if not hot:
+        return rows.join(small, key)
+    keys = F.broadcast(rows.sparkSession.createDataFrame([(x,) for x in hot], f"{key} {dict(rows.dtypes)[key]}"))
+    few = F.broadcast(cut(small.join(keys, key, "left_semi"), "hot"))
+    return rows.join(few, key).unionByName(rows.join(keys, key, "left_anti").join(small, key))
+
+
 def climb(seeds: DataFrame, links: DataFrame, nodes: DataFrame) -> DataFrame:
     """leaf_id, node_id, content, depth: each seed (leaf_id, content) at depth 0 and every node above it, once for each way up.
 
     One join by equality per level, for all seeds at once, each written to the shared folder; it ends when no parent is left.
     A way up ends where it would meet a node again, so cycles end. No limit of depth, and no row limit as recursive queries have.
+    Near the root most rows share a few nodes: how many do is counted over the different nodes of a level, and such nodes are broadcast.
     """
     level = cut(seeds.select("leaf_id", F.col("leaf_id").alias("node_id"), "content", F.lit(0).alias("depth"), F.array("leaf_id").alias("_seen")), "climb")
     out = level.drop("_seen")
     up = links.select(F.col("child_id").alias("node_id"), F.col("parent_id").alias("_up"))
     parents = nodes.select(F.col("id").alias("_up"), F.col("content").alias("_content"))
+    counts = level.groupBy("node_id").agg(F.count(F.lit(1)).alias("n"))
+    shared = lambda: [r[0] for r in counts.where((F.col("n") >= HOT) & F.col("node_id").isNotNull()).select("node_id").collect()]
+    hot = shared()
     for depth in count(1):
-        level = cut(level.select("leaf_id", "node_id", "_seen").join(up, "node_id").where(~F.array_contains("_seen", F.col("_up"))).join(parents, "_up").select("leaf_id", F.col("_up").alias("node_id"), F.col("_content").alias("content"), F.lit(depth).alias("depth"), F.concat("_seen", F.array("_up")).alias("_seen")), "climb")
+        met = meet(level.select("leaf_id", "node_id", "_seen"), up, "node_id", hot).where(~F.array_contains("_seen", F.col("_up")))
+        counts = cut(counts.join(up, "node_id").groupBy(F.col("_up").alias("node_id")).agg(F.sum("n").alias("n")), "climb-counts")
+        hot = shared()
+        level = cut(meet(met, parents, "_up", hot).select("leaf_id", F.col("_up").alias("node_id"), F.col("_content").alias("content"), F.lit(depth).alias("depth"), F.concat("_seen", F.array("_up")).alias("_seen")), "climb")
         if level.isEmpty():
             break
         out = out.unionByName(level.drop("_seen"))

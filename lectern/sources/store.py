@@ -129,11 +129,15 @@ def leaf_chunks(wanted: DataFrame, documents: DataFrame, nodes: DataFrame, links
 
     Leaves are nodes with an embedding; the name of a document that has no row is its id. Order within a document: the index among siblings, then the path.
     """
-    seeds = nodes.where(F.col("embedding").isNotNull()).join(wanted.select("document_id"), "document_id", "left_semi")
+    leaves = nodes.where(F.col("embedding").isNotNull())
+    # a document may have most of the leaves, which are not to meet in one task
+    sizes = leaves.where(F.col("document_id").isNotNull()).groupBy("document_id").agg(F.count(F.lit(1)).alias("n"))
+    hot = [r[0] for r in sizes.where(F.col("n") >= ancestors.HOT).select("document_id").collect()]
+    seeds = ancestors.meet(leaves, wanted.select("document_id").distinct(), "document_id", hot)
     found = ancestors.paths(ancestors.climb(seeds.select(F.col("id").alias("leaf_id"), "content"), links, nodes), links, joint)
     owners = seeds.select(F.col("id").alias("leaf_id"), "document_id")
     names = documents.select(F.col("id").alias("document_id"), "name", F.lit(True).alias("_known"))
-    rows = found.join(owners, "leaf_id").join(wanted, "document_id").join(names, "document_id", "left")
+    rows = ancestors.meet(found.join(owners, "leaf_id"), wanted.join(names, "document_id", "left"), "document_id", hot)
     rows = rows.withColumn("source", F.when(F.col("_known"), F.col("name")).otherwise(F.col("document_id")))
     rows = with_position(rows, [F.col("ord"), F.asc_nulls_last("order_index"), F.col("path"), F.col("leaf_id")], "chunk_id")
     return rows.select("chunk_id", "text", metadata(source=F.col("source"), breadcrumb=F.col("breadcrumb"), node_id=F.col("leaf_id"), document_id=F.col("document_id")).alias("metadata"))

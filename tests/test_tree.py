@@ -137,3 +137,22 @@ def test_climb_reaches_the_root_of_a_deep_tree_and_ends_in_cycles(spark):
     seeds = nodes.where("id IN ('n67', 'y')").select(nodes["id"].alias("leaf_id"), "content")
     found = {(r.leaf_id, r.depth, r.node_id) for r in ancestors.climb(seeds, links, nodes).collect()}
     assert found == {("n67", 67 - i, f"n{i}") for i in range(68)} | {("y", 0, "y"), ("y", 1, "x")}
+
+
+def test_climb_exchanges_no_rows_of_a_node_that_many_share(spark, monkeypatch):
+    """The same rows with every node hot, with some and with none; the rows of hot nodes meet them by a broadcast."""
+    from lectern.operators import ancestors
+
+    nodes = spark.createDataFrame([("r", "root"), ("a", "A"), ("b", "B"), ("lost", "L")] + [(f"n{i}", f"t{i}") for i in range(30)], "id string, content string")
+    links = [("r", "a", 0), ("r", "b", 1), ("none", "lost", 0), ("a", "r", 5)] + [("ab"[i % 3 == 0], f"n{i}", i) for i in range(30)]
+    links = spark.createDataFrame(links, "parent_id string, child_id string, order_index int")
+    seeds = nodes.where("id LIKE 'n%' OR id = 'lost'").select(nodes["id"].alias("leaf_id"), "content")
+    joined = []
+    own = ancestors.meet
+    monkeypatch.setattr(ancestors, "meet", lambda rows, small, key, hot: joined.append(sorted(hot)) or own(rows, small, key, hot))
+    found = {}
+    for least in (10_000, 15, 1):
+        monkeypatch.setattr(ancestors, "HOT", least)
+        found[least] = sorted(tuple(r) for r in ancestors.climb(seeds, links, nodes).collect())
+    assert found[10_000] == found[15] == found[1] and len(found[1]) == 31 + 30 + 30 + 10
+    assert ["a"] in joined or ["b"] in joined
