@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import cut
 
 
-def with_position(df: DataFrame, order: list[Column], name: str = "position") -> DataFrame:
-    """Adds the 0-based position of each row in the order of `order`.
+def with_position(df: DataFrame, order: list[Column], name: str = "position", ties: Sequence[Column] = ()) -> DataFrame:
+    """Adds the 0-based position of each row in the order of `order`, then of `ties`, by which no ranges are made (the sample leaves them out).
 
     Rows are dealt by range and sorted within partitions; a row's place there plus the number of rows in the partitions before
     it is its position. Only one number per partition meets in one task. Ranges come from a sample, so the dealt rows are written
     once and read twice.
     """
-    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order, *ties)
     dealt = cut(dealt.withColumns({"_part": F.spark_partition_id(), "_place": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}), "order")
     sizes = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))

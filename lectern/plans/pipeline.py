@@ -14,19 +14,27 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..operators import answers, labels, model, questions, retrieval, tree
 from ..operators.chunking import metadata
-from ..operators.ordering import sequential_ids
+from ..operators.ordering import sequential_ids, with_position
 from ..sources import scratch
 from . import settings as S
 
 
 def chunk_pages(pages: DataFrame, source, order: str, content: str, detector: tree.Detector | None = None) -> DataFrame:
-    """Chunk rows of paged text: lines by source, trees, leaves with breadcrumbs, ids in the order of sources and leaves."""
+    """Chunk rows of paged text: lines by source, trees, leaves with breadcrumbs, ids in the order of sources and leaves.
+
+    No source meets in one row: trees are worked out from the lengths of lines, then lines meet in their leaves.
+    """
     from ..operators.chunking import page_lines
 
-    lines = page_lines(pages, source, order, content)
-    every = lines.groupBy("source").agg(F.min("page").alias("ord"), F.transform(F.array_sort(F.collect_list(F.struct("page", "line_in_page", "line"))), lambda x: x["line"]).alias("lines"))
-    documents = every.withColumn("tables", F.lit(None).cast("map<string,string>"))
-    return _chunks(tree.chunk_documents(documents, detector), every.select("source", "ord"), F.substring_index("source", "/", -1))
+    ranges = [F.col(c) for c in ("source", "page", "line_in_page")]
+    lines = with_position(page_lines(pages, source, order, content), ranges, ties=[F.col("line")])
+    placed = scratch.cut(tree.place_lines(tree.mark_lines(lines, detector)), "tree")
+    first = lines.groupBy("source").agg(F.min("page").alias("ord"))
+    leaves = placed.where("path IS NOT NULL").select("source", "leaf").join(first, "source")
+    titles, contents = tree.paged_leaves(lines, placed)
+    numbered = sequential_ids(leaves, "source", ["ord", "leaf"]).drop("ord").join(titles, ["source", "leaf"], "left")
+    numbered = numbered.select("chunk_id", "source", "leaf", tree.joined_titles(F.col("source"), F.col("titles")).alias("breadcrumb"))
+    return _chunk_rows(numbered.join(contents, ["source", "leaf"]), F.substring_index("source", "/", -1))
 
 
 def chunk_documents(documents: DataFrame, detector: tree.Detector | None = None) -> DataFrame:
@@ -35,7 +43,10 @@ def chunk_documents(documents: DataFrame, detector: tree.Detector | None = None)
 
 
 def _chunks(leaves: DataFrame, order: DataFrame, name) -> DataFrame:
-    placed = sequential_ids(leaves.join(order, "source"), "source", ["ord", "leaf"])
+    return _chunk_rows(sequential_ids(leaves.join(order, "source"), "source", ["ord", "leaf"]), name)
+
+
+def _chunk_rows(placed: DataFrame, name) -> DataFrame:
     meta = metadata(source=F.col("source"), file_name=F.coalesce(name, F.lit(None).cast("string")), breadcrumb=F.col("breadcrumb"), node_id=X.stable_id(F.col("source"), F.col("leaf")))
     return placed.select("chunk_id", tree.chunk_text(F.col("breadcrumb"), F.col("content")).alias("text"), meta.alias("metadata"))
 

@@ -129,6 +129,86 @@ def test_chunk_documents(spark):
     assert [(r.source, r.breadcrumb, r.content) for r in found] == [("b", "b", "1. One\ntext\n1.1 Two\nmore")]
 
 
+def lines_at_random(rng):
+    """Lines around the sizes at which nodes are merged or cut, and their levels."""
+    sizes = rng.choice([[1, 5, 20], [20, 200, 1000], [900, 1100, 2200], [219, 220, 221, 440, 441, 109, 110, 111], [530, 545, 2, 274], [10, 9000]])
+    deep, share = rng.choice([2, 4, 8]), rng.choice([0.05, 0.3, 0.7])
+    lines, levels = [], {}
+    for i in range(rng.randint(1, rng.choice([6, 40, 120]))):
+        n = max(1, rng.choice(sizes) + rng.randint(-2, 2))
+        lines.append(rng.choice(["a" * n, ("ab. c 1. 12345678 x " * n)[:n].strip(), "x" + " " * n + "y", "\x1c"]))
+        levels[i] = rng.choice([rng.randint(1, deep), rng.randint(1, deep), 0]) if rng.random() < share else -1
+    return lines, levels
+
+
+def by_line(lines, levels, source):
+    """leaf_rows from a SourceTree."""
+    made = tree.SourceTree()
+    for i, line in enumerate(lines):
+        made.add(*tree._mark(i, levels[i], line))
+    made.end()
+    assert not made.titles
+    inner = {position: (title, absorbed) for leaf, position, _, _, title, absorbed in made.rows if leaf is None}
+    out = {}
+    for leaf, position, piece, path, _, _ in made.rows:
+        if leaf is not None:
+            crumb, texts = out.setdefault(leaf, (tree.breadcrumb(source, *zip(*[inner[p] for p in path])) if path else source, []))
+            texts.append(tree.cut_leaf(lines[position])[piece])
+    return [(crumb, "\n".join(texts)) for crumb, texts in out.values()]
+
+
+def test_a_tree_line_by_line_is_the_tree_of_the_whole_source():
+    rng = random.Random(11)
+    for _ in range(100):
+        lines, levels = lines_at_random(rng)
+        assert by_line(lines, levels, "a/b") == tree.leaf_rows(tree.document_tree(lines, levels, "a/b"))
+    # a parent that becomes a leaf in the second round, as merged siblings count a token less, and then merges with its neighbours
+    found = [tree.settle(Node(tree.Span(2, ((0, 0),)), [Node(tree.Span(n, ((1, 0),))), Node(tree.Span(n, ((2, 0),)))]))[1] for n in (545, 548, 549)]
+    assert found == [1, 2, None]
+    lines, levels = ["T", "A", "a" * 548, "B", "b" * 548, "c", "C", "d"], [-1, 1, 2, 2, 3, -1, 1, -1]
+    assert by_line(lines, dict(enumerate(levels)), "s") == tree.leaf_rows(tree.document_tree(lines, dict(enumerate(levels)), "s"))
+
+
+def test_a_tree_line_by_line_holds_no_more_for_a_longer_source():
+    rng = random.Random(5)
+    for share in (0.0, 0.001, 0.4):
+        made, most = tree.SourceTree(), 0
+        for i in range(20_000):
+            made.add(i, rng.randint(1, 3) if rng.random() < share else -1, rng.randint(1, 90), title="t")
+            made.rows.clear()
+            held = [n for o in made.open for c in o.children for n, _ in c.walk()]
+            spans = [n.content for n in held] + [s for o in made.open if o.run for s in o.run.held if s] + ([made.packed] if made.packed else [])
+            most = max(most, sum(len(s) for s in spans), len(made.titles) * 10)
+        assert most < 12_000
+
+
+def test_chunk_pages_keeps_order_and_matches_the_plain_trees(spark, monkeypatch):
+    """No source meets in one row: the plain version, which takes lists of lines, is not called."""
+    from lectern.plans import pipeline
+
+    rng = random.Random(7)
+    head = lambda: rng.choice(["", "", "1. Part\n", "1.2 Section\n", "a) item\n"])
+    body = lambda: rng.choice(["w" * 300, "s " * 600, "\x1c", " x ", "1. 12345678 n " * 900])
+    pages = [(rng.choice(["in/b", "a", "c"]), rng.choice([1, 2, 3, 4, 5, None]), "\n".join(head() + body() for _ in range(rng.randint(0, 5)))) for _ in range(60)] + [("a", 1, None), ("none", 0, " ")]
+    frame = spark.createDataFrame(pages, "source string, page int, text string")
+    wanted = []
+    strip = lambda x: x.strip(" ")
+    lines = {}
+    for source, page, text in pages:
+        numbered = enumerate(x for x in map(strip, (text or "").split("\n")) if x)
+        lines.setdefault(source, []).extend((page is not None, page or 0, i, x) for i, x in numbered)
+    firsts = {s: min((p for given, p, _, _ in xs if given), default=-1) for s, xs in lines.items() if xs}
+    for source in sorted(firsts, key=lambda s: (firsts[s], s)):
+        ordered = [x for *_, x in sorted(lines[source])]
+        wanted += [(source, crumb, f"[{crumb}]\n{text}") for crumb, text in tree.leaf_rows(tree.document_tree(ordered, tree.rule_detector()(ordered), source))]
+    monkeypatch.setattr(tree, "chunk_documents", None)
+    for detector in (None, tree.rule_detector()):
+        found = pipeline.chunk_pages(frame, F.col("source"), "page", "text", detector).orderBy("chunk_id").collect()
+        assert [(r.metadata.source, r.metadata.breadcrumb, r.text) for r in found] == wanted
+        assert [r.chunk_id for r in found] == list(range(len(wanted)))
+    assert len(wanted) > 30 and any(" > " in crumb for _, crumb, _ in wanted)
+
+
 def test_climb_reaches_the_root_of_a_deep_tree_and_ends_in_cycles(spark):
     from lectern.operators import ancestors
 
