@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.readers import spread
-from ..sources.scratch import cut
+from ..sources.scratch import cut, freed_shuffles  # noqa: F401
 
 #: White space of the contracts: space, tab, line feed, vertical tab, form feed, carriage return.
 WHITE = r"[\x20\x09-\x0D]+"
@@ -43,18 +43,6 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
         return cut(df, label)
 
 
-@contextlib.contextmanager
-def freed_shuffles(spark: SparkSession) -> Iterator[None]:
-    """What runs inside drops its shuffle files when it ends, not when the driver happens to collect its garbage."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def delete(written: DataFrame) -> None:
     """Deletes the folder that `written` was read from, once all that reads it is written itself."""
     jvm = written.sparkSession._jvm

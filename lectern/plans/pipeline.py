@@ -27,8 +27,10 @@ def chunk_pages(pages: DataFrame, source, order: str, content: str, detector: tr
     from ..operators.chunking import page_lines
 
     ranges = [F.col(c) for c in ("source", "page", "line_in_page")]
-    lines = with_position(page_lines(pages, source, order, content), ranges, ties=[F.col("line")])
-    placed = scratch.cut(tree.place_lines(tree.mark_lines(lines, detector)), "tree")
+    # the lines' exchange is not read once they are written
+    with scratch.freed_shuffles(pages.sparkSession):
+        lines = with_position(page_lines(pages, source, order, content), ranges, ties=[F.col("line")])
+        placed = scratch.cut(tree.place_lines(tree.mark_lines(lines, detector)), "tree")
     first = lines.groupBy("source").agg(F.min("page").alias("ord"))
     leaves = placed.where("path IS NOT NULL").select("source", "leaf").join(first, "source")
     titles, contents = tree.paged_leaves(lines, placed)
